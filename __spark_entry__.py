@@ -30,6 +30,7 @@ from starflow.operators import (  # noqa: E402
     table_counts,
 )
 from starflow.plans import (  # noqa: E402
+    SILVER_TABLES,
     RefreshConfig,
     gold_table,
     gold_tables,
@@ -256,12 +257,12 @@ def gold_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _silver_query(name: str) -> Query:
-    return lambda spark, sf_dir: silver_tables(bronze_view(spark, sf_dir))[name]
+    return lambda spark, sf_dir: SILVER_TABLES[name](bronze_view(spark, sf_dir))
 
 
 def _gold_query(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        gold = gold_table(name, silver_tables(bronze_view(spark, sf_dir))[name])
+        gold = gold_table(name, SILVER_TABLES[name](bronze_view(spark, sf_dir)))
         return _as_zoneless(gold) if "EVENT_TIMESTAMP" in gold.columns else gold
 
     return query

@@ -4,6 +4,7 @@ from starflow.plans.bronze import ingest_bronze
 from starflow.plans.gold import build_gold, gold_table, gold_tables
 from starflow.plans.refresh import RefreshConfig, run_refresh
 from starflow.plans.silver import (
+    SILVER_TABLES,
     build_silver,
     dim_device,
     dim_geo,
@@ -16,6 +17,7 @@ from starflow.plans.silver import (
 
 __all__ = [
     "RefreshConfig",
+    "SILVER_TABLES",
     "build_gold",
     "build_silver",
     "dim_device",

@@ -68,15 +68,18 @@ def fact_events(events: DataFrame) -> DataFrame:
     )
 
 
+SILVER_TABLES = {
+    "dim_user": dim_user,
+    "dim_device": dim_device,
+    "dim_geo": dim_geo,
+    "dim_session": dim_session,
+    "dim_page": dim_page,
+    "fact_events": fact_events,
+}
+
+
 def silver_tables(events: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "dim_user": dim_user(events),
-        "dim_device": dim_device(events),
-        "dim_geo": dim_geo(events),
-        "dim_session": dim_session(events),
-        "dim_page": dim_page(events),
-        "fact_events": fact_events(events),
-    }
+    return {name: table(events) for name, table in SILVER_TABLES.items()}
 
 
 def build_silver(

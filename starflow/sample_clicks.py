@@ -7,89 +7,73 @@ export itself under its raw column names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starflow.columns import COLUMN_NAMES
 
-_HOST = r"^https?://([^/?#]+)"
-_PATH = r"^https?://[^/?#]+([^?#]*)"
+# Host and path of a page's URL.
+_PAGE = (
+    "page_id",
+    "url AS current_url",
+    "regexp_extract(url, '^https?://([^/?#]+)', 1) AS host",
+    "regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) AS pathname",
+)
+
+# How each model column follows from an event, its page, its
+# customer and the customer's nation. A CASE without ELSE injects the NULLs.
+_CLICK = (
+    "CAST(event_id AS STRING) AS event_uuid",
+    "event_type AS event_name",
+    "ts AS event_timestamp",
+    "CASE WHEN user_id % 50 <> 49 THEN concat('d', user_id) END AS distinct_id",
+    "concat('p', user_id % 100) AS person_id",
+    "CASE WHEN event_id % 3 = 0 THEN concat('ph', user_id) END AS posthog_user_id",
+    "CASE WHEN event_id % 5 = 0 THEN concat('app', user_id) END AS app_user_id",
+    "CASE WHEN event_id % 7 = 0 THEN c_name END AS prop_user_id",
+    "CASE WHEN event_id % 4 <> 0 THEN concat(user_id, '-', CAST(ts AS DATE)) END AS session_id",
+    "CASE WHEN event_id % 8 = 0 THEN concat('s', user_id) END AS prop_session_id",
+    "pathname",
+    "current_url",
+    "host",
+    "CASE WHEN event_id % 3 = 0 THEN 'canvas' END AS surface",
+    "CASE user_id % 3 WHEN 0 THEN 'Mobile' WHEN 1 THEN 'Desktop' END AS device_type",
+    "CASE user_id % 4 WHEN 0 THEN 'Chrome' WHEN 1 THEN 'Safari' WHEN 2 THEN 'Firefox' END"
+    " AS browser",
+    "CASE WHEN user_id % 5 <> 0 THEN concat(100 + user_id % 7, '.10') END AS browser_version",
+    "CASE WHEN user_id % 2 = 0 THEN 'Mac OS X' ELSE 'Windows' END AS os",
+    "CASE WHEN user_id % 6 <> 0 THEN CAST(10 + user_id % 2 AS STRING) END AS os_version",
+    "CASE WHEN user_id % 9 <> 0 THEN 'en-US' END AS browser_language",
+    "CASE WHEN user_id % 11 <> 0 THEN n_name END AS country_name",
+    "CASE WHEN user_id % 13 <> 0 THEN concat('N', n_nationkey) END AS country_code",
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _page_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Host and path are cut out once per page, before the join, not once per event."""
-    return table(spark, sf_dir, "pages").select(
-        "page_id",
-        F.col("url").alias("current_url"),
-        F.regexp_extract("url", _HOST, 1).alias("host"),
-        F.regexp_extract("url", _PATH, 1).alias("pathname"),
-    )
-
-
-def _customer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with their nation, joined once per customer, not once per event."""
-    customers = table(spark, sf_dir, "customer")
-    nations = table(spark, sf_dir, "nation")
-    return customers.join(
-        nations, customers.c_nationkey == nations.n_nationkey, "left"
-    ).select("c_custkey", "c_name", "n_nationkey", "n_name")
-
-
 def bronze_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per event, joined to its page and its customer.
+    """One row per event, joined to its page, its customer and the customer's nation.
 
     No side is broadcast by hint: pages and customers grow with the data, so
-    Catalyst decides by their size, and AQE splits a user that is too hot for
-    one task of a sort-merge join.
+    Catalyst decides by their size. Customers join before nations because the
+    size of a bare table is known, that of a join only guessed; a guess too high
+    would shuffle the events. Beyond the threshold the join is a sort-merge, and
+    AQE splits a user too hot for one of its tasks.
+
+    Host and path are cut out once per page, before the join.
     """
-    pages = _page_lookup(spark, sf_dir)
-    page_total = table(spark, sf_dir, "pages").agg(F.max("page_id") + 1).scalar()
+    pages = table(spark, sf_dir, "pages")
+    page_total = pages.agg(F.max("page_id") + 1).scalar()
     events = table(spark, sf_dir, "events").withColumn("page_id", F.col("event_id") % page_total)
-    customers = _customer_lookup(spark, sf_dir)
-    joined = events.join(pages, "page_id").join(
-        customers, events.user_id == customers.c_custkey, "left"
-    )
-
-    event_id, user = F.col("event_id"), F.col("user_id")
-
-    def prefixed(prefix: str, value: Column) -> Column:
-        return F.concat(F.lit(prefix), value.cast("string"))
-
-    return joined.select(
-        event_id.cast("string").alias("event_uuid"),
-        F.col("event_type").alias("event_name"),
-        F.col("ts").alias("event_timestamp"),
-        F.when(user % 50 != 49, prefixed("d", user)).alias("distinct_id"),
-        prefixed("p", user % 100).alias("person_id"),
-        F.when(event_id % 3 == 0, prefixed("ph", user)).alias("posthog_user_id"),
-        F.when(event_id % 5 == 0, prefixed("app", user)).alias("app_user_id"),
-        F.when(event_id % 7 == 0, F.col("c_name")).alias("prop_user_id"),
-        F.when(
-            event_id % 4 != 0,
-            F.concat_ws("-", user.cast("string"), F.to_date("ts").cast("string")),
-        ).alias("session_id"),
-        F.when(event_id % 8 == 0, prefixed("s", user)).alias("prop_session_id"),
-        "pathname",
-        "current_url",
-        "host",
-        F.when(event_id % 3 == 0, F.lit("canvas")).alias("surface"),
-        F.when(user % 3 == 0, "Mobile").when(user % 3 == 1, "Desktop").alias("device_type"),
-        F.when(user % 4 == 0, "Chrome")
-        .when(user % 4 == 1, "Safari")
-        .when(user % 4 == 2, "Firefox")
-        .alias("browser"),
-        F.when(user % 5 != 0, F.concat((user % 7 + 100).cast("string"), F.lit(".10"))).alias(
-            "browser_version"
-        ),
-        F.when(user % 2 == 0, "Mac OS X").otherwise("Windows").alias("os"),
-        F.when(user % 6 != 0, (user % 2 + 10).cast("string")).alias("os_version"),
-        F.when(user % 9 != 0, "en-US").alias("browser_language"),
-        F.when(user % 11 != 0, F.col("n_name")).alias("country_name"),
-        F.when(user % 13 != 0, prefixed("N", F.col("n_nationkey"))).alias("country_code"),
+    customers = table(spark, sf_dir, "customer")
+    nations = table(spark, sf_dir, "nation")
+    return (
+        events.join(pages.selectExpr(*_PAGE), "page_id")
+        .join(customers, events.user_id == customers.c_custkey, "left")
+        .join(nations, customers.c_nationkey == nations.n_nationkey, "left")
+        .selectExpr(*_CLICK)
     )
 
 

@@ -54,7 +54,10 @@ def write_each(
         return
     with ThreadPoolExecutor(max_workers=max(len(tables), 1)) as pool:
         # One wrapper per submission: each carries its own copy of the local properties.
-        jobs = [pool.submit(inheritable_thread_target(write), n, df) for n, df in tables.items()]
+        jobs = [
+            pool.submit(inheritable_thread_target(df.sparkSession)(write), name, df)
+            for name, df in tables.items()
+        ]
     for job in jobs:
         job.result()
 
