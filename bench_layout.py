@@ -68,9 +68,12 @@ def stage_inputs(spark: SparkSession, sf_dir: str, copies: int, root: str) -> No
 
 
 def widened(export: DataFrame) -> DataFrame:
-    """Pad to the published width; one padding column in four holds a value."""
+    """Pad to the published width; one padding column in four holds a value.
+
+    Line breaks are taken out, so that the file can be read split as well as whole.
+    """
     missing = RAW_COLUMNS - len(export.columns)
-    return export.withColumns(
+    return export.withColumn("prop_note", F.translate("prop_note", "\n", " ")).withColumns(
         {
             f"prop_extra_{i}": F.substring("uuid", 1, 4) if i % 4 == 0 else F.lit("")
             for i in range(missing)
@@ -82,10 +85,10 @@ def one_file_csv_layout(spark: SparkSession, raw: str, root: str) -> None:
     """The same tables by one-file CSV stages: a pass per type inference, count and table."""
 
     def inferred(path: str) -> DataFrame:
-        spark.read.option("header", True).option("escape", '"').option("multiLine", True).option(
-            "inferSchema", True
-        ).csv(path)
-        return read_csv(spark, path)
+        spark.read.option("header", True).option("escape", '"').option("inferSchema", True).csv(
+            path
+        )
+        return read_csv(spark, path, multiline=False)
 
     export = inferred(raw)
     export.count()
@@ -100,17 +103,33 @@ def one_file_csv_layout(spark: SparkSession, raw: str, root: str) -> None:
 def main(copies: int) -> dict[str, object]:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session()
+    cores = spark.sparkContext.defaultParallelism
     root = scratch_path(spark, "layout")
     stage_inputs(spark, sf_dir, copies, f"{root}/tables")
-    raw, bronze = f"{root}/raw", f"{root}/bronze"
-    write_csv(widened(sample_clicks.raw_export(spark, f"{root}/tables")), raw)
+    one_file, many_files, bronze = f"{root}/raw_one", f"{root}/raw_many", f"{root}/bronze"
+    export = widened(sample_clicks.raw_export(spark, f"{root}/tables"))
+    write_csv(export.repartition(4 * cores), many_files)
+    write_csv(read_csv(spark, many_files).coalesce(1), one_file)
+    result: dict[str, object] = {"rows": read_csv(spark, many_files).count()}
+
+    result["ingest_many_files_sec"] = timed(lambda: ingest_bronze(spark, many_files, bronze))
+    result["ingest_one_file_split_sec"] = timed(
+        lambda: ingest_bronze(spark, one_file, bronze, multiline=False)
+    )
+    for spread in (False, True):
+        staged = f"{root}/bronze_spread_{spread}"
+        label = "spread" if spread else "whole"
+        result[f"ingest_one_file_{label}_sec"] = timed(
+            lambda staged=staged, spread=spread: ingest_bronze(
+                spark, one_file, staged, spread=spread
+            )
+        )
+        result[f"silver_from_one_file_{label}_sec"] = timed(
+            lambda staged=staged: build_silver(spark, staged, f"{root}/silver")
+        )
 
-    result: dict[str, object] = {}
-    result["ingest_sec"] = timed(lambda: ingest_bronze(spark, raw, bronze))
+    ingest_bronze(spark, many_files, bronze)
     events = clean(read_parquet(spark, bronze))
-    result["rows"] = events.count()
-    result["ingest_rows_per_sec"] = int(result["rows"] / result["ingest_sec"])
-
     silver, gold = f"{root}/silver", f"{root}/gold"
     result["silver_sec"] = timed(lambda: build_silver(spark, bronze, silver))
     result["silver_in_turn_sec"] = timed(
@@ -121,7 +140,7 @@ def main(copies: int) -> dict[str, object]:
 
     fact = silver_tables(events)["fact_events"]
     result["fact_sec"] = timed(lambda: write_parquet(fact, f"{root}/fact"))
-    result["fact_one_file_sec"] = timed(lambda: write_parquet(fact.coalesce(1), f"{root}/fact1"))
+    result["fact_one_task_sec"] = timed(lambda: write_parquet(fact.coalesce(1), f"{root}/fact1"))
 
     users = events.select(
         "distinct_id", "person_id", user_id().alias("user_id"), "event_timestamp", "event_uuid"
@@ -134,14 +153,22 @@ def main(copies: int) -> dict[str, object]:
     )
     result["dim_user_row_number_sec"] = timed(lambda: noop(numbered.drop("rn")))
 
-    config = RefreshConfig(raw, f"{root}/lake", "layout_bench", f"{root}/warehouse")
-    result["refresh_sec"] = timed(lambda: run_refresh(spark, config).collect())
-    if os.environ.get("BENCH_ONE_FILE", "1") == "1":
-        result["one_file_csv_layout_sec"] = timed(
-            lambda: one_file_csv_layout(spark, raw, f"{root}/one_file")
+    for label, raw, multiline in (
+        ("many_files", many_files, True),
+        ("one_file_split", one_file, False),
+        ("one_file", one_file, True),
+    ):
+        config = RefreshConfig(
+            raw, f"{root}/lake", "layout_bench", f"{root}/warehouse", multiline=multiline
         )
+        result[f"refresh_{label}_sec"] = timed(
+            lambda config=config: run_refresh(spark, config).collect()
+        )
+    result["one_file_csv_layout_sec"] = timed(
+        lambda: one_file_csv_layout(spark, one_file, f"{root}/one_file")
+    )
     spark.stop()
-    return {"metric": "layout", "copies": copies, **result}
+    return {"metric": "layout", "copies": copies, "cores": cores, **result}
 
 
 if __name__ == "__main__":

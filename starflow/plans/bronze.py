@@ -7,19 +7,35 @@ from pyspark.sql import DataFrame, SparkSession
 from starflow.sources import read_csv, read_parquet, write_parquet
 
 
+def _scan_tasks(df: DataFrame) -> int:
+    """Tasks the scan is planned to have. Plans, but runs nothing."""
+    return df.rdd.getNumPartitions()
+
+
 def ingest_bronze(
     spark: SparkSession,
     raw_path: str | list[str],
     bronze_path: str,
     multiline: bool = True,
     check_headers: bool = False,
+    spread: bool | None = None,
     max_records_per_file: int = 0,
 ) -> DataFrame:
     """Stage the raw export as Parquet, unchanged, and return it.
 
     CSV is read row by row and whole; from here on each table reads only its own
-    columns, in batches, and splits do not depend on how the export was cut.
+    columns, in batches.
+
+    With `multiline` a file is one task, and its rows would become one Parquet
+    file that later stages can hardly split. `spread` evens the rows out over
+    files of AQE's advisory size, for a shuffle. Left open, it is done only where
+    the scan has fewer tasks than the cluster has cores; many files are staged as
+    they come, without a shuffle.
     """
     raw = read_csv(spark, raw_path, multiline=multiline, check_headers=check_headers)
+    if spread is None:
+        spread = multiline and _scan_tasks(raw) < spark.sparkContext.defaultParallelism
+    if spread:
+        raw = raw.hint("rebalance")
     write_parquet(raw, bronze_path, max_records_per_file=max_records_per_file)
     return read_parquet(spark, bronze_path)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from starflow.columns import GOLD_TABLES, TABLE_NAMES
 from starflow.functions import as_text, first_present, parse_timestamp, upper_text
-from starflow.sources import read_parquet, write_each, write_parquet
+from starflow.sources import for_each_table, read_parquet, write_parquet
 
 
 def _published(table: str, name: str, type_name: str, source_type: str) -> Column:
@@ -47,12 +47,11 @@ def gold_tables(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 def build_gold(
     spark: SparkSession, silver_root: str, gold_root: str, concurrent: bool = True
-) -> dict[str, DataFrame]:
-    """Write the gold tables from written silver and return them as written."""
-    silver = {name: read_parquet(spark, f"{silver_root}/{name}") for name in TABLE_NAMES}
-    write_each(
-        gold_tables(silver),
-        lambda name, df: write_parquet(df, f"{gold_root}/{name}", compression="snappy"),
-        concurrent,
-    )
-    return {name: read_parquet(spark, f"{gold_root}/{name}") for name in TABLE_NAMES}
+) -> None:
+    """Write the gold tables from written silver."""
+
+    def publish(name: str) -> None:
+        gold = gold_table(name, read_parquet(spark, f"{silver_root}/{name}"))
+        write_parquet(gold, f"{gold_root}/{name}", compression="snappy")
+
+    for_each_table(spark, TABLE_NAMES, publish, concurrent)

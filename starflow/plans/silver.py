@@ -20,7 +20,7 @@ from starflow.functions import (
     user_key,
 )
 from starflow.operators import clean, distinct_rows, first_row_per_key
-from starflow.sources import read_parquet, write_each, write_parquet
+from starflow.sources import for_each_table, read_parquet, write_parquet
 
 
 def dim_user(events: DataFrame) -> DataFrame:
@@ -84,12 +84,16 @@ def silver_tables(events: DataFrame) -> dict[str, DataFrame]:
 
 def build_silver(
     spark: SparkSession, bronze_path: str, silver_root: str, concurrent: bool = True
-) -> dict[str, DataFrame]:
-    """Write the silver tables from staged bronze and return them as written.
+) -> None:
+    """Write the silver tables from staged bronze.
 
     The six writes read the same Parquet, each only its own few columns. That
     is less than caching the union of those columns would write and read.
     """
-    tables = silver_tables(clean(read_parquet(spark, bronze_path)))
-    write_each(tables, lambda name, df: write_parquet(df, f"{silver_root}/{name}"), concurrent)
-    return {name: read_parquet(spark, f"{silver_root}/{name}") for name in tables}
+    events = clean(read_parquet(spark, bronze_path))
+    for_each_table(
+        spark,
+        SILVER_TABLES,
+        lambda name: write_parquet(SILVER_TABLES[name](events), f"{silver_root}/{name}"),
+        concurrent,
+    )

@@ -1,7 +1,7 @@
 """Sources and sinks: CSV, Parquet in the lake, and catalog tables."""
 
 from starflow.sources.csv import read_csv, write_csv
-from starflow.sources.lake import read_parquet, scratch_path, write_each, write_parquet
+from starflow.sources.lake import for_each_table, read_parquet, scratch_path, write_parquet
 from starflow.sources.warehouse import (
     create_tables,
     load_from_lake,
@@ -13,6 +13,7 @@ from starflow.sources.warehouse import (
 
 __all__ = [
     "create_tables",
+    "for_each_table",
     "load_from_lake",
     "load_table",
     "read_csv",
@@ -22,6 +23,5 @@ __all__ = [
     "truncate_table",
     "warehouse_tables",
     "write_csv",
-    "write_each",
     "write_parquet",
 ]

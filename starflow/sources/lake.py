@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from uuid import uuid4
 
@@ -12,14 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def read_parquet(spark: SparkSession, path: str, file_pattern: str = "*.parquet") -> DataFrame:
-    """A lake table, reading only the files whose name matches."""
+    """A lake table, reading only the files whose name matches.
+
+    The schema comes from a file's footer rather than from the caller, so that a
+    table whose write failed half-way is an error and not an empty table.
+    """
     return spark.read.option("pathGlobFilter", file_pattern).parquet(path)
 
 
 def write_parquet(
     df: DataFrame,
     path: str,
-    compression: str = "snappy",
+    compression: str = "zstd",
     max_records_per_file: int = 0,
 ) -> None:
     """Overwrite `path`, one file per task.
@@ -37,27 +41,25 @@ def write_parquet(
     )
 
 
-def write_each(
-    tables: Mapping[str, DataFrame],
-    write: Callable[[str, DataFrame], None],
+def for_each_table(
+    spark: SparkSession,
+    names: Iterable[str],
+    action: Callable[[str], None],
     concurrent: bool = True,
 ) -> None:
-    """Call `write(name, df)` for every table.
+    """Run `action(name)`, a job that reads and writes one table, for every table.
 
-    The tables are independent jobs. Submitted together, the tasks of one fill
-    the slots that the last tasks of another leave idle. The first failure is
-    raised after the running writes have ended.
+    The tables are independent. Submitted together, the tasks of one fill the
+    slots that the last tasks of another leave idle. The first failure is raised
+    after the running jobs have ended.
     """
     if not concurrent:
-        for name, df in tables.items():
-            write(name, df)
+        for name in names:
+            action(name)
         return
-    with ThreadPoolExecutor(max_workers=max(len(tables), 1)) as pool:
-        # One wrapper per submission: each carries its own copy of the local properties.
-        jobs = [
-            pool.submit(inheritable_thread_target(df.sparkSession)(write), name, df)
-            for name, df in tables.items()
-        ]
+    with ThreadPoolExecutor() as pool:
+        # One wrapper per job: each carries its own copy of the local properties.
+        jobs = [pool.submit(inheritable_thread_target(spark)(action), name) for name in names]
     for job in jobs:
         job.result()
 

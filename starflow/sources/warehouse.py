@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from starflow.columns import GOLD_TABLES, TABLE_NAMES
-from starflow.sources.lake import read_parquet, write_each
+from starflow.sources.lake import for_each_table, read_parquet
 
 
 def _quoted(name: str) -> str:
@@ -52,9 +52,12 @@ def load_from_lake(
     spark: SparkSession, database: str, gold_root: str, concurrent: bool = True
 ) -> None:
     """Replace every table with the Parquet files under `gold_root`."""
-    write_each(
-        {table: read_parquet(spark, f"{gold_root}/{table}") for table in TABLE_NAMES},
-        lambda table, rows: load_table(spark, database, table, rows),
+    for_each_table(
+        spark,
+        TABLE_NAMES,
+        lambda table: load_table(
+            spark, database, table, read_parquet(spark, f"{gold_root}/{table}")
+        ),
         concurrent,
     )
 
