@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
@@ -18,21 +19,18 @@ def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    """Rename in one step, ignoring absent columns.
+    """Rename all columns at once, ignoring absent ones.
 
-    A new name that another column already holds would make every later
-    reference ambiguous, so that is refused here.
+    A name that two columns would then hold would make every later reference
+    ambiguous, so that is refused here.
     """
-    present = {name.lower() for name in df.columns}
-    applied = {
-        old: new for old, new in mapping.items() if old != new and old.lower() in present
-    }
-    kept = present - {old.lower() for old in applied}
-    targets = [new.lower() for new in applied.values()]
-    clashes = sorted({t for t in targets if t in kept or targets.count(t) > 1})
+    new_names = {old.lower(): new for old, new in mapping.items()}
+    names = [new_names.get(name.lower(), name) for name in df.columns]
+    repeats = Counter(name.lower() for name in names)
+    clashes = sorted(name for name, n in repeats.items() if n > 1)
     if clashes:
         raise ValueError(f"renaming would repeat column names: {clashes}")
-    return df.withColumnsRenamed(applied)
+    return df.toDF(*names)
 
 
 def cast_declared(df: DataFrame, types: Mapping[str, str] = DECLARED_TYPES) -> DataFrame:
