@@ -3,7 +3,8 @@
     python bench_layout.py [copies]      prints one JSON line
 
 Reads $BENCH_SF_DIR on local[$BENCH_CPUS] and writes below spark.checkpoint.dir.
-The raw export is widened to 107 columns, as wide as the published one.
+The raw export is widened to 107 columns, as wide as the published one. With
+BENCH_ONE_FILE=0 the runs that read the export as a single file are left out.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ from starflow.plans import (
 from starflow.sources import read_csv, read_parquet, scratch_path, write_csv, write_parquet
 
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+ONE_FILE = os.environ.get("BENCH_ONE_FILE", "1") == "1"
 RAW_COLUMNS = 107
 
 
@@ -100,6 +102,26 @@ def one_file_csv_layout(spark: SparkSession, raw: str, root: str) -> None:
     gold["fact_events"].count()
 
 
+def time_one_file_ingest(spark: SparkSession, one_file: str, root: str) -> dict[str, float]:
+    """One file read split, read whole, and read whole with its rows spread afterwards."""
+    result = {
+        "ingest_one_file_split_sec": timed(
+            lambda: ingest_bronze(spark, one_file, f"{root}/bronze_split", multiline=False)
+        )
+    }
+    for label, spread in (("whole", False), ("spread", True)):
+        staged = f"{root}/bronze_{label}"
+        result[f"ingest_one_file_{label}_sec"] = timed(
+            lambda staged=staged, spread=spread: ingest_bronze(
+                spark, one_file, staged, spread=spread
+            )
+        )
+        result[f"silver_from_one_file_{label}_sec"] = timed(
+            lambda staged=staged: build_silver(spark, staged, f"{root}/silver")
+        )
+    return result
+
+
 def main(copies: int) -> dict[str, object]:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session()
@@ -109,26 +131,12 @@ def main(copies: int) -> dict[str, object]:
     one_file, many_files, bronze = f"{root}/raw_one", f"{root}/raw_many", f"{root}/bronze"
     export = widened(sample_clicks.raw_export(spark, f"{root}/tables"))
     write_csv(export.repartition(4 * cores), many_files)
-    write_csv(read_csv(spark, many_files).coalesce(1), one_file)
     result: dict[str, object] = {"rows": read_csv(spark, many_files).count()}
-
     result["ingest_many_files_sec"] = timed(lambda: ingest_bronze(spark, many_files, bronze))
-    result["ingest_one_file_split_sec"] = timed(
-        lambda: ingest_bronze(spark, one_file, bronze, multiline=False)
-    )
-    for spread in (False, True):
-        staged = f"{root}/bronze_spread_{spread}"
-        label = "spread" if spread else "whole"
-        result[f"ingest_one_file_{label}_sec"] = timed(
-            lambda staged=staged, spread=spread: ingest_bronze(
-                spark, one_file, staged, spread=spread
-            )
-        )
-        result[f"silver_from_one_file_{label}_sec"] = timed(
-            lambda staged=staged: build_silver(spark, staged, f"{root}/silver")
-        )
+    if ONE_FILE:
+        write_csv(read_csv(spark, many_files).coalesce(1), one_file)
+        result |= time_one_file_ingest(spark, one_file, root)
 
-    ingest_bronze(spark, many_files, bronze)
     events = clean(read_parquet(spark, bronze))
     silver, gold = f"{root}/silver", f"{root}/gold"
     result["silver_sec"] = timed(lambda: build_silver(spark, bronze, silver))
@@ -153,20 +161,20 @@ def main(copies: int) -> dict[str, object]:
     )
     result["dim_user_row_number_sec"] = timed(lambda: noop(numbered.drop("rn")))
 
-    for label, raw, multiline in (
-        ("many_files", many_files, True),
-        ("one_file_split", one_file, False),
-        ("one_file", one_file, True),
-    ):
+    exports = [("many_files", many_files, True)]
+    if ONE_FILE:
+        exports += [("one_file_split", one_file, False), ("one_file", one_file, True)]
+    for label, raw, multiline in exports:
         config = RefreshConfig(
             raw, f"{root}/lake", "layout_bench", f"{root}/warehouse", multiline=multiline
         )
         result[f"refresh_{label}_sec"] = timed(
             lambda config=config: run_refresh(spark, config).collect()
         )
-    result["one_file_csv_layout_sec"] = timed(
-        lambda: one_file_csv_layout(spark, one_file, f"{root}/one_file")
-    )
+    if ONE_FILE:
+        result["one_file_csv_layout_sec"] = timed(
+            lambda: one_file_csv_layout(spark, one_file, f"{root}/one_file")
+        )
     spark.stop()
     return {"metric": "layout", "copies": copies, "cores": cores, **result}
 

@@ -44,7 +44,11 @@ def main(arguments: list[str]) -> None:
         multiline=not args.no_multiline,
         check_headers=args.check_headers,
     )
-    spark = SparkSession.builder.appName(f"starflow {args.stage} {args.date}".strip()).getOrCreate()
+    spark = (
+        SparkSession.builder.appName(f"starflow {args.stage} {args.date}".strip())
+        .config("spark.sql.session.timeZone", "UTC")
+        .getOrCreate()
+    )
     for name, stage in STAGES.items():
         if args.stage in ("all", name):
             stage(spark, config)

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starflow.operators import table_counts
+from starflow.operators import table_counts, unexpected_columns
 from starflow.plans.bronze import ingest_bronze
 from starflow.plans.gold import build_gold
 from starflow.plans.silver import build_silver
 from starflow.sources import create_tables, load_from_lake, warehouse_tables
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class RefreshConfig:
@@ -39,9 +42,10 @@ class RefreshConfig:
 
 
 def ingest(spark: SparkSession, config: RefreshConfig) -> None:
-    ingest_bronze(
+    bronze = ingest_bronze(
         spark, config.raw_path, config.bronze_path, config.multiline, config.check_headers
     )
+    log.info("columns kept in bronze but unknown to the model: %s", unexpected_columns(bronze))
 
 
 def silver(spark: SparkSession, config: RefreshConfig) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gzip
+
 import pytest
 
 from starflow.plans import ingest_bronze
@@ -35,6 +37,19 @@ def test_quoted_empty_field(spark, tmp_path):
     assert values(read(spark, tmp_path, text, keep_empty=True)) == [("", None)]
 
 
+@pytest.mark.parametrize("multiline", [True, False])
+def test_windows_line_ends_byte_order_mark_and_compression(spark, tmp_path, multiline):
+    with gzip.open(tmp_path / "raw.csv.gz", "wb") as file:
+        file.write(b"\xef\xbb\xbfid,b\r\n007,x\r\n1e5,\r\n")
+    df = read_csv(spark, str(tmp_path / "raw.csv.gz"), multiline=multiline)
+    assert df.columns == ["id", "b"]
+    assert values(df) == [("007", "x"), ("1e5", None)]
+
+
+def test_short_and_long_rows_are_kept(spark, tmp_path):
+    assert values(read(spark, tmp_path, "a,b\n1\n1,2,3\n")) == [("1", None), ("1", "2")]
+
+
 def test_padding_is_kept(spark, tmp_path):
     assert values(read(spark, tmp_path, "a,b\n  pad  ,x\n")) == [("  pad  ", "x")]
 
