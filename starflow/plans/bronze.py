@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starflow.sources import read_csv, read_parquet, write_parquet
+from starflow.sources import one_record_per_line, read_csv, read_parquet, write_parquet
 
 
 def _scan_tasks(df: DataFrame) -> int:
@@ -27,14 +27,25 @@ def ingest_bronze(
     columns, in batches.
 
     With `multiline` a file is one task, and its rows would become one Parquet
-    file that later stages can hardly split. `spread` evens the rows out over
-    files of AQE's advisory size, for a shuffle. Left open, it is done only where
-    the scan has fewer tasks than the cluster has cores; many files are staged as
-    they come, without a shuffle.
+    file that later stages can hardly split. Many files are staged as they come.
+    Where the scan has fewer tasks than the cluster has cores, the files are
+    first checked for records that span lines: without any they are read split
+    after all, otherwise their rows are spread by a shuffle. `spread` skips the
+    check and does so, or does not.
     """
-    raw = read_csv(spark, raw_path, multiline=multiline, check_headers=check_headers)
-    if spread is None:
-        spread = multiline and _scan_tasks(raw) < spark.sparkContext.defaultParallelism
+
+    def read(multiline: bool) -> DataFrame:
+        return read_csv(spark, raw_path, multiline=multiline, check_headers=check_headers)
+
+    raw = read(multiline)
+    if spread is None and multiline:
+        tasks = _scan_tasks(raw)
+        if tasks < spark.sparkContext.defaultParallelism:
+            split = read(multiline=False)
+            if _scan_tasks(split) > tasks and one_record_per_line(spark, raw_path):
+                raw = split
+            else:
+                spread = True
     if spread:
         raw = raw.hint("rebalance")
     write_parquet(raw, bronze_path, max_records_per_file=max_records_per_file)

@@ -1,6 +1,6 @@
 """Sources and sinks: CSV, Parquet in the lake, and catalog tables."""
 
-from starflow.sources.csv import read_csv, write_csv
+from starflow.sources.csv import one_record_per_line, read_csv, write_csv
 from starflow.sources.lake import for_each_table, read_parquet, scratch_path, write_parquet
 from starflow.sources.warehouse import (
     create_tables,
@@ -16,6 +16,7 @@ __all__ = [
     "for_each_table",
     "load_from_lake",
     "load_table",
+    "one_record_per_line",
     "read_csv",
     "read_parquet",
     "scratch_path",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # A string no exported field holds, so that only unquoted empty fields match it.
 _NO_SUCH_FIELD = "\u0000"
@@ -39,6 +40,26 @@ def read_csv(
     return reader.csv(path)
 
 
+# One whole record: fields that are quoted throughout or hold no quote, and no
+# carriage return, which the two ways of reading treat differently. Possessive, so
+# that a match never backtracks.
+_FIELD = r'(?:"[^"\r]*+(?:""[^"\r]*+)*+"|[^",\r]*+)'
+_RECORD = rf"^{_FIELD}(?:,{_FIELD})*+\z"
+_BLANK = r"^[\x00-\x20]+\z"
+
+
+def one_record_per_line(spark: SparkSession, path: str | list[str]) -> bool:
+    """Whether every line is a record by itself, so that files may be read split.
+
+    Exact, not a sample: a pass over the files as text, which splits, and stops at
+    the first line that says otherwise. A line it cannot vouch for, such as one
+    with a stray quote, a Windows line end or only spaces, counts as saying so.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path)
+    unsure = ~F.col("value").rlike(_RECORD) | F.col("value").rlike(_BLANK)
+    return lines.filter(unsure).isEmpty()
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Overwrite `path` with CSV files that `read_csv` reads back unchanged.
 

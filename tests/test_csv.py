@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import gzip
+import random
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from starflow.plans import ingest_bronze
-from starflow.sources import read_csv, write_csv
+from starflow.sources import one_record_per_line, read_csv, write_csv
 
 
 def read(spark, tmp_path, text, **options):
@@ -101,3 +104,53 @@ def test_ingest_replaces_what_was_there(spark, tmp_path):
         (tmp_path / "raw.csv").write_text("id\n" + ids)
         staged = ingest_bronze(spark, str(tmp_path / "raw.csv"), bronze)
     assert values(staged) == [("3",)]
+
+
+@pytest.mark.parametrize(
+    "body, expected",
+    [
+        ('1,"say ""hi"", bye",x\n', True),
+        ("1,,\r\n2,,\r\n", False),
+        ("", True),
+        ("\n\n1,2,3\n", True),
+        ('1,"a\nb",x\n', False),
+        ('5" pipe,2,3\n', False),
+        ('x"y,"a\nb",z"w\n', False),
+        ("1,a\rb,3\n", False),
+        ("1,2,3\n  \n", False),
+    ],
+)
+def test_one_record_per_line(spark, tmp_path, body, expected):
+    (tmp_path / "raw.csv").write_bytes(("a,b,c\n" + body).encode())
+    assert one_record_per_line(spark, str(tmp_path / "raw.csv")) is expected
+
+
+@settings(max_examples=80, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(body=st.text(alphabet='a," \n\r\t', max_size=30))
+def test_lines_vouched_for_read_the_same_split_and_whole(spark, tmp_path, body):
+    path = tmp_path / f"{abs(hash(body))}.csv"
+    path.write_bytes(("a,b,c\n" + body).encode())
+    if one_record_per_line(spark, str(path)):
+        whole = read_csv(spark, str(path), multiline=True)
+        split = read_csv(spark, str(path), multiline=False)
+        assert values(whole) == values(split)
+
+
+def test_long_quoted_fields_are_checked_without_overflow(spark, tmp_path):
+    (tmp_path / "raw.csv").write_text("a,b\n1,\"" + '""x' * 200_000 + '"\n')
+    assert one_record_per_line(spark, str(tmp_path / "raw.csv"))
+
+
+@pytest.mark.parametrize("broken", [False, True])
+def test_a_large_lone_file_is_staged_in_many_tasks(spark, tmp_path, broken):
+    """Split where no record spans lines, spread where one does; the rows are the same."""
+    pad = random.Random(0)
+    note = '"line1\nline2"' if broken else '"say ""hi"", bye"'
+    lines = [f"{i},{pad.randbytes(100).hex()},{note if i == 70_000 else 'plain'}" for i in range(100_000)]
+    (tmp_path / "raw.csv").write_text("id,pad,note\n" + "\n".join(lines) + "\n")
+    bronze = ingest_bronze(spark, str(tmp_path / "raw.csv"), str(tmp_path / "bronze"))
+    assert len(list((tmp_path / "bronze").glob("*.parquet"))) > 1
+    whole = read_csv(spark, str(tmp_path / "raw.csv"))
+    assert bronze.count() == 100_000
+    assert bronze.exceptAll(whole).isEmpty()
+    assert bronze.filter("id = 70000").first().note == ("line1\nline2" if broken else 'say "hi", bye')
