@@ -77,6 +77,21 @@ def test_a_failing_table_fails_the_stage(spark):
             for_each_table(spark, TABLE_NAMES, action, concurrent)
 
 
+class Session:
+    """As much of a session as a scratch path needs."""
+
+    def __init__(self, **settings):
+        self.conf = {f"spark.{key}": value for key, value in settings.items()}
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(Session(master="yarn"), "x")
+    assert "starflow" in scratch_path(Session(master="local[2]"), "x")
+    shared = Session(**{"master": "yarn", "checkpoint.dir": "s3a://lake/scratch/"})
+    assert scratch_path(shared, "x").startswith("s3a://lake/scratch/starflow/x-")
+
+
 def test_scratch_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
