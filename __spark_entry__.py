@@ -103,6 +103,13 @@ def silver_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, check_headers=True, keep_empty=True)
 
 
+def silver_csv_export_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "silver-csv")
+    write_csv(fact_events(bronze_view(spark, sf_dir)), path)
+    exported = read_csv(spark, path, check_headers=True, keep_empty=True)
+    return cast_declared(exported, {"event_timestamp": "timestamp_ntz"})
+
+
 def _staged(df: DataFrame, label: str) -> DataFrame:
     """Written once and read back, for queries that would otherwise compute it again."""
     path = scratch_path(df.sparkSession, label)
@@ -295,6 +302,7 @@ def queries() -> dict[str, Query]:
         "fn_parse_timestamp": fn_parse_timestamp,
         **{f"silver_{name}": _silver_query(name) for name in TABLE_NAMES},
         "silver_csv_export": silver_csv_export,
+        "silver_csv_export_facts": silver_csv_export_facts,
         "silver_parquet_scan": silver_parquet_scan,
         **{f"gold_{name}": _gold_query(name) for name in TABLE_NAMES},
         "gold_parquet_roundtrip": gold_parquet_roundtrip,
@@ -437,6 +445,7 @@ def oracle_sql() -> dict[str, str]:
         "fn_parse_timestamp": "SELECT event_id, ts FROM events",
         **{f"silver_{name}": sql for name, sql in silver.items()},
         "silver_csv_export": silver["dim_page"],
+        "silver_csv_export_facts": silver["fact_events"],
         "silver_parquet_scan": silver["fact_events"],
         **{f"gold_{name}": sql for name, sql in gold.items()},
         "gold_parquet_roundtrip": gold["fact_events"],

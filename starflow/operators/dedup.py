@@ -26,7 +26,7 @@ def first_row_per_key(
     """
     ranked = [c for c in order_by if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in ranked]
-    order = [part for c in ranked for part in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))]
+    order = [part for c in ranked for part in (F.col(c).isNull().alias(f"{c} is null"), F.col(c))]
     first = F.min(F.struct(*order, *rest)).alias("first")
     return (
         df.groupBy(*keys)

@@ -11,6 +11,7 @@ from starflow.plans.silver import (
     dim_page,
     dim_session,
     dim_user,
+    export_silver,
     fact_events,
     silver_tables,
 )
@@ -25,6 +26,7 @@ __all__ = [
     "dim_page",
     "dim_session",
     "dim_user",
+    "export_silver",
     "fact_events",
     "gold_table",
     "gold_tables",

@@ -20,7 +20,7 @@ from starflow.functions import (
     user_key,
 )
 from starflow.operators import clean, distinct_rows, first_row_per_key
-from starflow.sources import for_each_table, read_parquet, write_parquet
+from starflow.sources import for_each_table, read_parquet, write_csv, write_parquet
 
 
 def dim_user(events: DataFrame) -> DataFrame:
@@ -97,3 +97,17 @@ def build_silver(
         lambda name: write_parquet(SILVER_TABLES[name](events), f"{silver_root}/{name}"),
         concurrent,
     )
+
+
+def export_silver(
+    spark: SparkSession, silver_root: str, csv_root: str, concurrent: bool = True
+) -> None:
+    """Copy the silver tables to CSV, for readers that need it; gold is not built from it."""
+    for_each_table(
+        spark,
+        SILVER_TABLES,
+        lambda name: write_csv(
+            read_parquet(spark, f"{silver_root}/{name}"), f"{csv_root}/{name}"
+        ),
+        concurrent,
+    )

@@ -6,6 +6,7 @@ import re
 
 import pytest
 from oracle import SMALL, oracle, rows_of
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from starflow.columns import COLUMN_NAMES, SILVER_INPUTS, TABLE_NAMES
@@ -64,24 +65,37 @@ def test_pages_are_read_without_their_html(spark):
     assert "html" not in plan_of(bronze_view(spark, SMALL))
 
 
-@pytest.fixture
-def hot_user_dir(spark, tmp_path):
-    """The sample tables, with a third of the events moved to one user."""
+@pytest.fixture(scope="module")
+def hot_dir(spark, tmp_path_factory):
+    """The sample tables, where a third of the events are one user's on one page.
+
+    Another tenth are exact copies of one event.
+    """
+    root = tmp_path_factory.mktemp("hot")
     for name in ("pages", "customer", "nation"):
-        table(spark, SMALL, name).write.parquet(str(tmp_path / f"{name}.parquet"))
-    events = table(spark, SMALL, "events").crossJoin(spark.range(20).withColumnRenamed("id", "copy"))
-    events.selectExpr(
-        "event_id + copy * 1000 AS event_id",
-        "ts",
-        "if(event_id % 3 = 0, 7L, user_id) AS user_id",
+        table(spark, SMALL, name).write.parquet(f"{root}/{name}.parquet")
+    events = table(spark, SMALL, "events").withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(19))))
+    repeated = events.withColumn("event_id", F.col("event_id") + F.col("copy") * 1000).drop("copy")
+    one = table(spark, SMALL, "events").filter("event_id = 7")
+    pages = table(spark, SMALL, "pages").count()
+    again = F.explode(F.sequence(F.lit(1), F.lit(12_000))).alias("copy")
+    hot = one.select("*", again).selectExpr(
+        f"event_id + {pages} * (copy + 100000L) AS event_id",
+        "ts + make_dt_interval(0, 0, 0, copy) AS ts",
+        "user_id",
         "event_type",
         "value",
         "props",
-    ).repartition(16).write.parquet(str(tmp_path / "events.parquet"))
-    return str(tmp_path)
+    )
+    copies = one.select("*", again).filter("copy <= 3600").drop("copy")
+    events = repeated.unionByName(hot).unionByName(copies)
+    events.repartition(16).write.parquet(f"{root}/events.parquet")
+    return str(root)
 
 
-def test_a_hot_user_is_split_across_tasks(spark, hot_user_dir):
+@pytest.fixture
+def shuffled_joins(spark):
+    """Joins as large tables get them, with thresholds that suit small ones."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -93,14 +107,19 @@ def test_a_hot_user_is_split_across_tasks(spark, hot_user_dir):
     before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
-    try:
-        fact = driver.queries()["silver_fact_events"](spark, hot_user_dir)
-        rows = rows_of(fact)
-        assert "skew=true" in plan_of(fact)
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-    sql = driver.oracle_sql()["silver_fact_events"]
-    for name in ("events", "pages", "customer", "nation"):
-        sql = re.sub(rf"\b(FROM|JOIN) {name}\b", rf"\1 read_parquet('{hot_user_dir}/{name}.parquet/*.parquet')", sql)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("name", TABLE_NAMES)
+def test_a_third_of_the_rows_under_one_key(spark, hot_dir, shuffled_joins, name):
+    silver = driver.queries()[f"silver_{name}"](spark, hot_dir)
+    rows = rows_of(silver)
+    if name == "fact_events":
+        assert plan_of(silver).count("skew=true") >= 2, "hot page and hot user are split"
+    sql = driver.oracle_sql()[f"silver_{name}"]
+    for source in ("events", "pages", "customer", "nation"):
+        files = f"read_parquet('{hot_dir}/{source}.parquet/*.parquet')"
+        sql = re.sub(rf"\b(FROM|JOIN) {source}\b", rf"\1 {files}", sql)
     assert rows == oracle(SMALL, sql)

@@ -11,9 +11,17 @@ from oracle import SMALL, oracle, rows_of
 import __spark_entry__ as driver
 import run_job
 from starflow.columns import TABLE_NAMES
-from starflow.plans import RefreshConfig, run_refresh
+from starflow.operators import cast_declared
+from starflow.plans import RefreshConfig, export_silver, run_refresh
 from starflow.sample_clicks import raw_export
-from starflow.sources import for_each_table, scratch_path, warehouse_tables, write_csv
+from starflow.sources import (
+    for_each_table,
+    read_csv,
+    read_parquet,
+    scratch_path,
+    warehouse_tables,
+    write_csv,
+)
 
 ORACLES = driver.oracle_sql()
 
@@ -67,6 +75,15 @@ def test_stages_can_be_submitted_one_by_one(spark, config, capsys):
     assert_all_tables_equal_their_oracles(spark, config.database)
 
 
+def test_silver_exports_to_csv_and_back(spark, config, tmp_path):
+    run_refresh(spark, config)
+    export_silver(spark, config.silver_root, str(tmp_path / "csv"))
+    for name in TABLE_NAMES:
+        silver = read_parquet(spark, f"{config.silver_root}/{name}")
+        exported = read_csv(spark, str(tmp_path / "csv" / name), keep_empty=True)
+        assert rows_of(cast_declared(exported)) == rows_of(silver), name
+
+
 def test_a_failing_table_fails_the_stage(spark):
     def action(name):
         if name == "dim_geo":
