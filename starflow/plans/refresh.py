@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starflow.operators import table_counts, unexpected_columns
+from starflow.operators import row_count, table_counts, unexpected_columns
 from starflow.plans.bronze import ingest_bronze
 from starflow.plans.gold import build_gold
 from starflow.plans.silver import build_silver
@@ -45,6 +45,7 @@ def ingest(spark: SparkSession, config: RefreshConfig) -> None:
     bronze = ingest_bronze(
         spark, config.raw_path, config.bronze_path, config.multiline, config.check_headers
     )
+    log.info("bronze rows: %d", row_count(bronze).first()["n"])
     log.info("columns kept in bronze but unknown to the model: %s", unexpected_columns(bronze))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starflow.columns import GOLD_TABLES, TABLE_NAMES
 from starflow.sources.lake import for_each_table, read_parquet
@@ -38,13 +39,17 @@ def load_table(spark: SparkSession, database: str, table: str, rows: DataFrame)
     and the rows lack become NULL; columns the table lacks are left out.
     """
     target = table_name(database, table)
-    known = {name.lower() for name in spark.table(target).columns}
-    matching = [name for name in rows.columns if name.lower() in known]
+    known = {name.lower(): name for name in spark.table(target).columns}
+    matching = [
+        F.col(_quoted(name)).alias(known[name.lower()])
+        for name in rows.columns
+        if name.lower() in known
+    ]
     if not matching:
         raise ValueError(f"no column matches table {table}: {rows.columns}")
     spark.sql(
         f"INSERT OVERWRITE TABLE {target} BY NAME SELECT * FROM {{rows}}",
-        rows=rows.select(*map(_quoted, matching)),
+        rows=rows.select(*matching),
     )
 
 

@@ -28,3 +28,23 @@ def test_entry_counts_every_table(spark):
     counts = driver.entry(spark)
     assert counts.columns == ["table_name", "n"]
     assert rows_of(counts) == oracle(SMALL, ORACLES["gold_row_counts"])
+
+
+@pytest.mark.parametrize(
+    "setting, value",
+    [
+        ("spark.sql.ansi.enabled", "false"),
+        ("spark.sql.adaptive.enabled", "false"),
+        ("spark.sql.session.timeZone", "America/New_York"),
+        ("spark.sql.caseSensitive", "true"),
+    ],
+)
+def test_results_do_not_hang_on_session_settings(spark, setting, value):
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, value)
+    try:
+        for name in ("csv_scan_typed", "silver_dim_user", "gold_fact_events", "warehouse_load"):
+            found = rows_of(QUERIES[name](spark, SMALL))
+            assert found == oracle(SMALL, ORACLES[name]), name
+    finally:
+        spark.conf.set(setting, before)
