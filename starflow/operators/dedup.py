@@ -18,11 +18,12 @@ def first_row_per_key(
 ) -> DataFrame:
     """One row per key: the first by `order_by`, NULLs last.
 
-    Same rows as `row_number() = 1`, but as an aggregate. A window would send
-    every row of a key to one task; the minimum of a struct is combined on the
-    map side, so at most one row per key and task is shuffled, whatever the
-    key's share of the data. Rows that tie on `order_by` are ranked by their
-    remaining columns, which makes the result independent of partitioning.
+    Same rows as `row_number() = 1`, as an aggregate: the minimum of a struct is
+    combined on the map side, so at most one row per key and task is shuffled,
+    whatever the key's share of the data. A window gets there only where the
+    optimizer turns the filter on its number into a limit before the shuffle.
+    Rows that tie on `order_by` are ranked by their remaining columns, which
+    makes the result independent of partitioning.
     """
     ranked = [c for c in order_by if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in ranked]

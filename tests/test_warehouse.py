@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 import shutil
 from uuid import uuid4
 
@@ -83,3 +84,9 @@ def test_a_table_without_files_is_an_error(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     with pytest.raises(Exception, match="(?i)schema"):
         read_parquet(spark, str(tmp_path / "empty"))
+
+
+def test_counts_read_no_column(spark, database):
+    plan = table_counts(warehouse_tables(spark, database))._jdf.queryExecution().executedPlan()
+    schemas = re.findall(r"ReadSchema: (\S+)", plan.toString())
+    assert schemas == ["struct<>"] * len(GOLD_TABLES)
