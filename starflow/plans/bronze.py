@@ -28,10 +28,10 @@ def ingest_bronze(
 
     With `multiline` a file is one task, and its rows would become one Parquet
     file that later stages can hardly split. Many files are staged as they come.
-    Where the scan has fewer tasks than the cluster has cores, the files are
-    first checked for records that span lines: without any they are read split
-    after all, otherwise their rows are spread by a shuffle. `spread` skips the
-    check and does so, or does not.
+    Where the scan has fewer tasks than the cluster has cores, files worth
+    splitting are first checked for records that span lines: without any they are
+    read split after all. Otherwise their rows are spread by a shuffle. `spread`
+    skips the check and does so, or does not.
     """
 
     def read(multiline: bool) -> DataFrame:
@@ -42,7 +42,7 @@ def ingest_bronze(
         tasks = _scan_tasks(raw)
         if tasks < spark.sparkContext.defaultParallelism:
             split = read(multiline=False)
-            if _scan_tasks(split) > tasks and one_record_per_line(spark, raw_path):
+            if _scan_tasks(split) > 2 * tasks and one_record_per_line(spark, raw_path):
                 raw = split
             else:
                 spread = True
