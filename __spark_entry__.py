@@ -54,6 +54,14 @@ from starflow.sources import (  # noqa: E402
     write_parquet,
 )
 
+try:  # the operators for training text may be left out; the rest does not need them
+    import corpus_pipeline
+    from starflow.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "starflow.llm", "starflow.llm.queries"):
+        raise
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -312,6 +320,7 @@ def queries() -> dict[str, Query]:
         "warehouse_truncate": warehouse_truncate,
         "refresh_counts": refresh_counts,
         "refresh_fact_events": refresh_fact_events,
+        **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
 
 
@@ -457,4 +466,5 @@ def oracle_sql() -> dict[str, str]:
              FROM bronze""",
         "refresh_counts": row_counts,
         "refresh_fact_events": gold["fact_events"],
+        **(llm.oracle_sql() if llm else {}),
     }
