@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starflow.llm.line_dedup import kept_text, with_bitmaps
 from starflow.llm.minhash import near_duplicates
+from starflow.llm.substring_dedup import remove_repeats
 from starflow.sources import read_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +43,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = remove_repeats(_table(spark, sf_dir, "documents"), digest=True)
+    return removed.withColumnRenamed("kept", "kept_sha256")
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
 
@@ -49,6 +55,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op5_line_dedup": op5_line_dedup,
+        "op9_substring_dedup": op9_substring_dedup,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
     }
 
@@ -76,6 +83,28 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT kept) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
+OP9_SQL = f"""
+WITH worded AS (SELECT doc_id, {_WORDS.format("text")} AS words FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(words) - 18)) AS start,
+         unnest(list_transform(range(1, len(words) - 18),
+                               lambda i: array_to_string(words[i:i + 19], ' '))) AS key
+  FROM worded WHERE len(words) >= 20),
+ranked AS (
+  SELECT doc_id, start, row_number() OVER (PARTITION BY key ORDER BY doc_id, start) AS nth
+  FROM windows),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(start, start + 20)) AS pos FROM ranked WHERE nth > 1),
+placed AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM worded),
+kept AS (
+  SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.pos) AS text, count(*) AS n
+  FROM placed p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.pos = g.pos GROUP BY p.doc_id)
+SELECT w.doc_id, len(w.words) AS n_words, len(w.words) - coalesce(k.n, 0) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM worded w LEFT JOIN kept k ON w.doc_id = k.doc_id
+"""
+
 OP10_SQL = f"""
 WITH RECURSIVE worded AS (
   SELECT doc_id, {_WORDS.format(_LOWER.format("text"))} AS words FROM documents),
@@ -106,4 +135,4 @@ GROUP BY d.doc_id, s.n
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": OP5_SQL, "op10_minhash_near_dedup": OP10_SQL}
+    return {"op5_line_dedup": OP5_SQL, "op9_substring_dedup": OP9_SQL, "op10_minhash_near_dedup": OP10_SQL}

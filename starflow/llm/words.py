@@ -64,6 +64,20 @@ class _Powers:
 _power = _Powers()
 
 
+def run_sums(hashes: np.ndarray):
+    """A function from begins and ends of runs of words to hashes of the runs."""
+    _, base, inverse = _bases(5)
+    n = len(hashes)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(hashes * _power(base, n), out=sums[1:])
+    undo = _power(inverse, n + 1)
+
+    def between(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((sums[end] - sums[begin]) * undo[begin] + (end - begin).astype(np.uint64))
+
+    return between
+
+
 class Words:
     """The words of a block of texts, in order."""
 
