@@ -6,8 +6,11 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from starflow.llm import language_id, toxicity
+from starflow.llm.decontamination import find_leaks
 from starflow.llm.line_dedup import kept_text, with_bitmaps
 from starflow.llm.minhash import near_duplicates
 from starflow.llm.substring_dedup import remove_repeats
@@ -20,6 +23,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
+def _held_out(doc_id: str = "doc_id") -> Column:
+    """Documents no classifier may learn from. Never NULL."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(True))
+
+
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.train(docs.filter(~_held_out()))
+    return language_id.identify(docs, model).select(
+        "doc_id", _held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
 def _kept_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         columns = zip(batch.column("text").to_pylist(), batch.column("_keep").to_pylist())
@@ -43,6 +63,17 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels").filter(~_held_out()))
+    return toxicity.toxicity(docs, model).select(
+        "doc_id",
+        _held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = remove_repeats(_table(spark, sf_dir, "documents"), digest=True)
     return removed.withColumnRenamed("kept", "kept_sha256")
@@ -54,7 +85,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_benchmark_decontamination": op1_benchmark_decontamination,
+        "op3_language_id": op3_language_id,
         "op5_line_dedup": op5_line_dedup,
+        "op7_toxicity": op7_toxicity,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
     }

@@ -11,6 +11,8 @@ import pyarrow as pa
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_MARKS = _SPACE.copy()  # everything in ASCII but letters and digits
+_MARKS[:128] = [not chr(c).isalnum() for c in range(128)]
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -81,7 +83,9 @@ def run_sums(hashes: np.ndarray):
 class Words:
     """The words of a block of texts, in order."""
 
-    def __init__(self, texts: pa.LargeStringArray, lower: bool = False) -> None:
+    def __init__(self, texts: pa.LargeStringArray, lower: bool = False, marks: bool = True) -> None:
+        """`lower` takes A-Z for a-z; without `marks`, words are runs of letters, digits and
+        characters beyond ASCII instead."""
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[
             texts.offset : texts.offset + len(texts) + 1
         ]
@@ -93,7 +97,7 @@ class Words:
             self.data = _LOWER[self.data]
         self.n_rows = len(texts)
         n = len(self.data)
-        inside = ~_SPACE[self.data]
+        inside = ~(_SPACE if marks else _MARKS)[self.data]
         breaks = np.zeros(n + 1, bool)
         breaks[self.row_at] = True
         before = np.zeros(n, bool)
