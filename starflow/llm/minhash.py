@@ -23,6 +23,7 @@ from starflow.llm.words import Words, distinct_by_row, mix, stream
 
 _UNFILLED = np.uint64(0xFFFFFFFFFFFFFFFF)
 _VALUE_BITS = np.uint64(44)
+_BLOCK = 128  # sets that are compared with as many others at once
 
 
 def fast_similarity_sketch(values: np.ndarray, first: np.ndarray, t: int) -> np.ndarray:
@@ -102,13 +103,14 @@ def sketches(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(digest, shingles) of every document that has words: the full set, as 64-bit hashes."""
+    """(doc_id, digest, shingles) of every document: the full set, as 64-bit hashes, in order."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in blocks(batches):
+        for batch, texts in blocks(batches):
             values, first = _sets(texts, words)
             yield pa.record_batch(
                 {
+                    "doc_id": batch.column("doc_id"),
                     "digest": pa.array(_digests(values, first), pa.binary()),
                     "shingles": pa.LargeListArray.from_arrays(
                         pa.array(first), pa.array(values.view(np.int64))
@@ -116,7 +118,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
                 }
             )
 
-    return docs.mapInArrow(collect, "digest binary, shingles array<long>")
+    return docs.mapInArrow(collect, "doc_id long, digest binary, shingles array<long>")
 
 
 def _similar(shared: Column, a: Column, b: Column, percent: int) -> Column:
@@ -124,136 +126,206 @@ def _similar(shared: Column, a: Column, b: Column, percent: int) -> Column:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of digests whose full sets are similar enough."""
-    left = sets.select(F.col("digest").alias("a"), F.col("shingles").alias("of_a"))
-    right = sets.select(F.col("digest").alias("b"), F.col("shingles").alias("of_b"))
+    """The pairs (a, b) of nodes whose full sets are similar enough."""
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
     shared = F.size(F.array_intersect("of_a", "of_b"))
     return (
         pairs.join(left, "a")
         .join(right, "b")
         .filter(_similar(shared, F.size("of_a"), F.size("of_b"), percent))
-        .select("a", "b")
     )
 
 
+def _linked(percent: int):
+    """Between two blocks of sets: which components have a similar enough pair."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                x, y = batch.column("xs")[i].values, batch.column("ys")[i].values
+                c_x, c_y = (z.field("component").to_numpy() for z in (x, y))
+                s_x, s_y = x.field("shingles"), y.field("shingles")
+                n_x, n_y = (np.diff(z.offsets.to_numpy()) for z in (s_x, s_y))
+                tokens = s_y.flatten().to_numpy()
+                owner = np.repeat(np.arange(len(n_y)), n_y)
+                order = np.argsort(tokens, kind="stable")
+                tokens, owner = tokens[order], owner[order]
+                found = set()
+                for j in range(len(n_x)):
+                    own = s_x[j].values.to_numpy()
+                    low = np.searchsorted(tokens, own, "left")
+                    count = np.searchsorted(tokens, own, "right") - low
+                    at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+                    shared = np.bincount(owner[at], minlength=len(n_y))
+                    near = (100 * shared >= percent * (n_x[j] + n_y - shared)) & (c_y != c_x[j])
+                    found.update((int(c_x[j]), int(c)) for c in np.unique(c_y[near]))
+                if found:
+                    a, b = zip(*sorted(found))
+                    yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return compare
+
+
+def _blocked(grouped: DataFrame, sets: DataFrame, size: int, name: str) -> DataFrame:
+    """Rows (around, node, component) with their sets, gathered to blocks of about `size` rows."""
+    total = grouped.groupBy("around").agg(F.count("*").alias("n"))
+    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / size))
+    return (
+        grouped.join(total, "around")
+        .join(sets, "node")
+        .groupBy("around", block.alias("block"))
+        .agg(F.collect_list(F.struct("component", "shingles")).alias(name))
+        .select("around", name)
+    )
+
+
+def _rest(members: DataFrame, names: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components for every pair of a bucket that is not yet in one component.
+
+    Each bucket's largest component is its centre. Of any such pair, one at least is
+    outside the centre; the other is in the centre or outside too. So whatever is outside is
+    compared with all of the centre and all that is outside it, block by block.
+    """
+    named = members.join(names, "node")
+    largest = (
+        named.groupBy("bucket", "component")
+        .agg(F.count("*").alias("n"))
+        .groupBy("bucket")
+        .agg(F.max(F.struct("n", F.col("component").alias("around"))).alias("c"))
+        .select("bucket", F.col("c.around").alias("around"))
+    )
+    outside = saved(
+        named.join(largest, "bucket")
+        .filter("component <> around")
+        .select("around", "node", "component")
+        .distinct(),
+        "outside",
+    )
+    inside = names.join(
+        outside.select(F.col("around").alias("component")).distinct(), "component"
+    ).select(F.col("component").alias("around"), "node", "component")
+    xs = _blocked(outside, sets, _BLOCK, "xs")
+    ys = _blocked(inside.union(outside), sets, _BLOCK, "ys")
+    return xs.join(ys, "around").mapInArrow(_linked(percent), "a long, b long").distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = 5,
     percent: int = 80,
-    bands: int = 32,
-    rows: int = 5,
-    pivot_rounds: int = 3,
+    bands: int = 40,
+    rows: int = 6,
+    pivot_rounds: int = 2,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of `docs` (doc_id, text).
 
     Documents are linked where their sets of `words`-word shingles have a Jaccard
     similarity of `percent` or more, confirmed on the full sets; a component is named by its
     smallest doc_id, whose row is kept. `bands` bands of `rows` coordinates miss a pair at 0.8
-    with probability (1 - 0.8**5)**32, 3 in a million, and fewer above.
+    with probability (1 - 0.8**6)**40, 5 in a million, and fewer above.
 
-    Rows with equal sets are one class, and only its digest goes on. The classes of a
-    bucket are not paired with one another. In each pivot round every bucket draws one class
-    as pivot, and only classes not yet in the pivot's component are compared with it, so a
-    bucket with m linked classes costs about m comparisons. After the rounds, whatever
-    is still outside its bucket's pivot component is compared with all the others of
-    the bucket outside its own. So no two classes that share a bucket and end in different components
-    have gone uncompared: every candidate link is either confirmed, refuted, or inside
-    a component already.
+    Rows with equal sets are one node, its smallest doc_id, and only that goes on. Of buckets
+    with the same nodes one stays. The nodes of a bucket are not paired with one another: in each
+    pivot round every bucket draws one node, and only nodes not yet in its component
+    are compared with it, so a bucket of m linked nodes costs about m comparisons. What is still
+    apart then is compared exactly, block by block (_rest), and only links between
+    components come out. So no two nodes that share a bucket and end in different
+    components have gone uncompared.
 
     NULL and empty texts have the empty set and are linked with nothing. A row without
     doc_id is linked with nothing and kept, with a NULL component_id. Rows that repeat a
-    doc_id are judged one by one, by their text. Repeated rows give equal results.
+    doc_id are judged one by one, by their text, but two texts whose nodes are the same doc_id
+    count as linked. Repeated rows give equal results.
     """
     docs = documents(docs)
     drawn = saved(sketches(docs, words, bands, rows), "sketches")
     linkable = drawn.filter("doc_id IS NOT NULL AND n_shingles > 0")
     classes = saved(
         linkable.groupBy("digest").agg(
-            F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles")
+            F.min("doc_id").alias("node"), F.max("n_shingles").alias("n_shingles")
         ),
         "classes",
     )
     bucketed = (
-        linkable.join(classes.select("digest", "rep"), "digest")
-        .filter("doc_id = rep")
-        .select("digest", "n_shingles", F.explode("keys").alias("bucket"))
+        linkable.join(classes.select("digest", "node"), "digest")
+        .filter("doc_id = node")
+        .select("node", F.explode("keys").alias("bucket"))
     )
     crowded = (
         bucketed.groupBy("bucket")
-        .agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+        .agg(
+            F.min("node").alias("low"),
+            F.max("node").alias("high"),
+            F.count("*").alias("size"),
+            # Sums of 32 bits, which repeated rows don't cancel and which can't overflow.
+            F.expr("sum(xxhash64(node) & 4294967295)").alias("mark"),
+            F.expr("sum(xxhash64(1, node) & 4294967295)").alias("mark2"),
+        )
         .filter("low < high")
-        .select("bucket")
+        .groupBy("low", "high", "size", "mark", "mark2")
+        .agg(F.min("bucket").alias("bucket"))
+        .select("bucket", "size")
     )
     members = saved(bucketed.join(crowded, "bucket").distinct(), "members")
 
-    wanted = classes.join(members.select("digest").distinct(), "digest").select(
-        F.col("rep").alias("doc_id"), F.col("digest").alias("of")
-    )
+    nodes = saved(classes.join(members.select("node").distinct(), "node"), "nodes")
+    wanted = nodes.select(F.col("node").alias("doc_id")).distinct()
     sets = saved(
-        shingle_sets(docs.join(wanted.select("doc_id").distinct(), "doc_id"), words)
-        .join(wanted.select(F.col("of").alias("digest")), "digest", "left_semi")
-        .dropDuplicates(["digest"]),
+        shingle_sets(docs.join(wanted, "doc_id"), words)
+        .withColumnRenamed("doc_id", "node")
+        .join(nodes.select("node", "digest"), ["node", "digest"], "left_semi")
+        .dropDuplicates(["node"])
+        .select("node", "shingles", F.size("shingles").alias("n")),
         "sets",
     )
+    sized = sets.select("node", "n")
+    shingled = sets.select("node", "shingles")
 
-    links = None
-    names = members.select("digest", F.col("digest").alias("component")).distinct()
+    names = sized.select("node", F.col("node").alias("component"))
     for r in range(pivot_rounds + 1):
-        named = members.join(names, "digest")
-        pivots = named.groupBy("bucket").agg(
-            F.min(F.struct(F.xxhash64("digest", F.lit(r)).alias("draw"), "digest", "n_shingles", "component")).alias("p")
-        )
-        pivots = pivots.select(
-            "bucket",
-            F.col("p.digest").alias("a"),
-            F.col("p.n_shingles").alias("n_a"),
-            F.col("p.component").alias("c_a"),
-        )
-        outside = named.select(
-            "bucket",
-            F.col("digest").alias("b"),
-            F.col("n_shingles").alias("n_b"),
-            F.col("component").alias("c_b"),
-        ).join(pivots, "bucket").filter("c_a <> c_b")
         if r == pivot_rounds:
-            # The rest: every class outside the pivot's component against all of the bucket.
-            outside = (
-                outside.select("bucket", "b", "n_b", "c_b")
-                .join(
-                    named.select(
-                        "bucket",
-                        F.col("digest").alias("a"),
-                        F.col("n_shingles").alias("n_a"),
-                        F.col("component").alias("c_a"),
-                    ),
-                    "bucket",
-                )
-                .filter("c_a <> c_b")
+            links = saved(_rest(members.filter("size > 2"), names, shingled, percent), "links")
+        else:
+            # A bucket of two is settled by the first round.
+            open_ = members if r == 0 else members.filter("size > 2")
+            named = open_.join(names, "node").join(sized, "node")
+            draw = F.struct(F.xxhash64("node", F.lit(r)).alias("draw"), "node", "n", "component")
+            pivots = named.groupBy("bucket").agg(F.min(draw).alias("p")).select(
+                "bucket",
+                F.col("p.node").alias("a"),
+                F.col("p.n").alias("n_a"),
+                F.col("p.component").alias("c_a"),
             )
-        pairs = saved(
-            outside.filter(_similar(F.least("n_a", "n_b"), F.col("n_a"), F.col("n_b"), percent))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            .distinct(),
-            "pairs",
-        )
-        if pairs.isEmpty():
+            pairs = (
+                named.withColumnRenamed("node", "b")
+                .join(pivots, "bucket")
+                .filter("component <> c_a")
+                .filter(_similar(F.least("n_a", "n"), F.col("n_a"), F.col("n"), percent))
+                .select("a", "b", "c_a", F.col("component").alias("c_b"))
+                .distinct()
+            )
+            found = _confirmed(pairs, shingled, percent)
+            links = saved(
+                found.select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct(), "links"
+            )
+        if links.isEmpty():
             continue
-        found = saved(_confirmed(pairs, sets, percent), "found")
-        links = found if links is None else links.union(found)
-        merged = connected_components(links).withColumnRenamed("node", "digest")
+        merged = connected_components(links).select(
+            F.col("node").alias("component"), F.col("component").alias("into")
+        )
         names = saved(
-            members.select("digest").distinct().join(merged, "digest", "left")
-            .select("digest", F.coalesce("component", "digest").alias("component")),
+            names.join(merged, "component", "left").select(
+                "node", F.coalesce("into", "component").alias("component")
+            ),
             "names",
         )
-    named = classes.join(names, "digest", "left").select(
-        "digest", "rep", F.coalesce("component", "digest").alias("component")
+    component = names.withColumnRenamed("component", "smallest")
+    labelled = classes.join(component, "node", "left").select(
+        "digest", F.coalesce("smallest", "node").alias("smallest")
     )
-    smallest = named.join(
-        named.groupBy("component").agg(F.min("rep").alias("smallest")), "component"
-    ).select("digest", "smallest")
     return (
-        drawn.join(smallest, "digest", "left")
+        drawn.join(labelled, "digest", "left")
         .select(
             "doc_id",
             "n_shingles",

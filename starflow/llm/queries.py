@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starflow.llm import language_id, toxicity
+from starflow.llm import language_id, sentencepiece_tokens, toxicity
 from starflow.llm.decontamination import find_leaks
 from starflow.llm.line_dedup import kept_text, with_bitmaps
 from starflow.llm.minhash import near_duplicates
 from starflow.llm.substring_dedup import remove_repeats
 from starflow.sources import read_parquet
 
+# A SentencePiece model file on the driver; its content goes to the tasks.
+SENTENCEPIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -74,6 +78,14 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_sentencepiece(
+    spark: SparkSession, sf_dir: str, model: str = SENTENCEPIECE_MODEL
+) -> DataFrame:
+    return sentencepiece_tokens.encode(
+        _table(spark, sf_dir, "documents"), Path(model).read_bytes()
+    )
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = remove_repeats(_table(spark, sf_dir, "documents"), digest=True)
     return removed.withColumnRenamed("kept", "kept_sha256")
@@ -89,6 +101,7 @@ def queries() -> dict[str, Query]:
         "op3_language_id": op3_language_id,
         "op5_line_dedup": op5_line_dedup,
         "op7_toxicity": op7_toxicity,
+        "op8_sentencepiece": op8_sentencepiece,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
     }
