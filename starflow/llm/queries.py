@@ -15,6 +15,7 @@ from starflow.llm.decontamination import find_leaks
 from starflow.llm.line_dedup import kept_text, with_bitmaps
 from starflow.llm.minhash import near_duplicates
 from starflow.llm.substring_dedup import remove_repeats
+from starflow.llm.winnowing import edited_fingerprints
 from starflow.sources import read_parquet
 
 # A SentencePiece model file on the driver; its content goes to the tasks.
@@ -67,6 +68,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.train(docs, _table(spark, sf_dir, "labels").filter(~_held_out()))
@@ -100,6 +105,7 @@ def queries() -> dict[str, Query]:
         "op1_benchmark_decontamination": op1_benchmark_decontamination,
         "op3_language_id": op3_language_id,
         "op5_line_dedup": op5_line_dedup,
+        "op6_winnowing": op6_winnowing,
         "op7_toxicity": op7_toxicity,
         "op8_sentencepiece": op8_sentencepiece,
         "op9_substring_dedup": op9_substring_dedup,
