@@ -137,13 +137,20 @@ def _fit(features: np.ndarray, ends: np.ndarray, ratios: np.ndarray, labels: np.
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, per_label: int = 2000, least_ratio: float = 1.0
+    docs: DataFrame,
+    labels: DataFrame,
+    most: tuple[int, int] = (4000, 2000),
+    least_ratio: float = 1.0,
+    least_texts: int = 3,
+    least_z: float = 4.0,
 ) -> Model:
-    """Fit on at most `per_label` texts of each label, drawn by a hash of the doc_id.
+    """Fit on at most `most` texts of labels 0 and 1, drawn by a hash of the doc_id.
 
     `labels` (doc_id, toxic) are the rows to learn from; toxic is 1 or 0, other values and
-    rows whose text is missing are left out. The draw is broadcast: at most 2 * per_label ids.
-    N-grams whose log ratio is nearer to 0 than `least_ratio` get no weight. With texts of one
+    rows whose text is missing are left out. The draw is broadcast: at most sum(most) ids.
+    N-grams get no weight if fewer than `least_texts` of the drawn texts hold them, if their log
+    ratio is nearer to 0 than `least_ratio`, or if the number of texts of label 1 that
+    hold them is within `least_z` standard deviations of what chance would give. With texts of one
     label only, or of none, every text scores the smoothed share of label 1.
     """
     known = labels.select(
@@ -155,7 +162,7 @@ def train(
         some = (
             known.filter(F.col("label") == label)
             .orderBy(F.xxhash64("doc_id"), "doc_id")
-            .limit(per_label)
+            .limit(most[label])
         )
         drawn = some if drawn is None else drawn.union(some)
     texts = saved(
@@ -176,12 +183,13 @@ def train(
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
         .toArrow()
     )
-    at = counted["bucket"].to_numpy()
+    at, c0, c1 = (counted[name].to_numpy() for name in ("bucket", "n0", "n1"))
+    ratio = np.log((c1 + 1) / (n1 + 2)) - np.log((c0 + 1) / (n0 + 2))
+    by_chance = (c0 + c1) * n1 / (n0 + n1)
+    z = (c1 - by_chance) / np.sqrt(by_chance * n0 / (n0 + n1))
+    telling = (np.abs(ratio) >= least_ratio) & (c0 + c1 >= least_texts) & (np.abs(z) >= least_z)
     ratios = np.zeros(1 << _BITS)
-    ratios[at] = np.log((counted["n1"].to_numpy() + 1) / (n1 + 2)) - np.log(
-        (counted["n0"].to_numpy() + 1) / (n0 + 2)
-    )
-    ratios[np.abs(ratios) < least_ratio] = 0
+    ratios[at[telling]] = ratio[telling]
     examples = (
         texts.mapInArrow(_examples(ratios != 0), "doc_id long, label int, buckets array<int>")
         .orderBy("doc_id")
