@@ -14,6 +14,7 @@ from starflow.llm import language_id, sentencepiece_tokens, toxicity
 from starflow.llm.decontamination import find_leaks
 from starflow.llm.line_dedup import kept_text, with_bitmaps
 from starflow.llm.minhash import near_duplicates
+from starflow.llm.surrogates import pseudonymize
 from starflow.llm.substring_dedup import remove_repeats
 from starflow.llm.winnowing import edited_fingerprints
 from starflow.sources import read_parquet
@@ -45,6 +46,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pii_surrogates(
+    spark: SparkSession, sf_dir: str, key: str = "not a secret"
+) -> DataFrame:
+    return pseudonymize(_table(spark, sf_dir, "documents"), key)
+
+
 def _kept_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         columns = zip(batch.column("text").to_pylist(), batch.column("_keep").to_pylist())
@@ -104,6 +111,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_benchmark_decontamination": op1_benchmark_decontamination,
         "op3_language_id": op3_language_id,
+        "op4_pii_surrogates": op4_pii_surrogates,
         "op5_line_dedup": op5_line_dedup,
         "op6_winnowing": op6_winnowing,
         "op7_toxicity": op7_toxicity,
