@@ -1,18 +1,83 @@
-"""A corpus pipeline of the operators in starflow.llm."""
+"""A corpus pipeline of the operators in starflow.llm: reject toxic documents, drop lines seen
+before, keep one document of each group of near copies, drop documents that leak a
+benchmark, and encode what is left.
+
+Each stage works on all that the one before kept, and what it returns is written and read again.
+All stages but the last return the columns of the documents they were given, with n_chars
+brought up to date where texts change.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from starflow.llm import sentencepiece_tokens, toxicity
+from starflow.llm.decontamination import find_leaks
+from starflow.llm.line_dedup import without_repeated_lines
+from starflow.llm.minhash import near_duplicates
+from starflow.llm.queries import SENTENCEPIECE_MODEL
+from starflow.llm.rows import row_key, saved
+from starflow.sources import read_parquet
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below 0.5. The classifier learns from the labels of documents whose
+    crc32 is not divisible by 5."""
+    labels = read_parquet(spark, f"{sf_dir}/labels.parquet").filter(
+        F.crc32(F.col("doc_id").cast("string")) % 5 != 0
+    )
+    model = toxicity.train(docs, labels)
+    return toxicity.with_toxicity(docs, model, "_score").filter("_score < 0.5").drop("_score")
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without the lines that an earlier one has."""
+    return without_repeated_lines(docs).withColumn(
+        "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)
+    )
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by a similarity of 0.8 or more of five-word shingles."""
+    groups = near_duplicates(docs, words=5, percent=80)
+    dropped = groups.filter("NOT kept").select(
+        F.col("doc_id").alias("_of_doc"), F.col("row").alias("_of_row")
+    )
+    same = (docs["doc_id"] == dropped["_of_doc"]) & (row_key() == dropped["_of_row"])
+    return docs.join(dropped.distinct(), same, "left_anti")
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    leaks = find_leaks(docs, read_parquet(spark, f"{sf_dir}/benchmark.parquet"))
+    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document that is left."""
+    return sentencepiece_tokens.encode(docs, Path(SENTENCEPIECE_MODEL).read_bytes())
+
 
-from starflow.llm.line_dedup import kept_text
-from starflow.llm.rows import saved
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", reject_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("tokens", encode),
+]
 
-STAGES: list = []
+# Classifier, sketches and tokens are beyond SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read_parquet(spark, f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = saved(stage(spark, docs, sf_dir), name)
     return docs

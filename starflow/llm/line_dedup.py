@@ -219,3 +219,18 @@ def with_bitmaps(docs: DataFrame, least: int = 10) -> DataFrame:
     return docs.join(
         maps, (docs["doc_id"] == maps["_of_doc"]) & (row_key() == maps["_of_row"]), "left"
     ).drop("_of_doc", "_of_row")
+
+
+def _only_kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts, maps = batch.column("text").to_pylist(), batch.column("_keep").to_pylist()
+        kept = [None if text is None else kept_text(text, keep) for text, keep in zip(texts, maps)]
+        at = batch.schema.get_field_index("text")
+        yield batch.set_column(at, "text", pa.array(kept, pa.string())).drop_columns(["_keep"])
+
+
+def without_repeated_lines(docs: DataFrame, least: int = 10) -> DataFrame:
+    """`docs`, of which doc_id and text are columns, with texts cut down to the lines they keep.
+    A NULL text stays NULL."""
+    fields = ", ".join(f"`{name}` {kind}" for name, kind in docs.dtypes)
+    return with_bitmaps(docs, least).select(*docs.columns, "_keep").mapInArrow(_only_kept, fields)

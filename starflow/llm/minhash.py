@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starflow.llm.components import connected_components
-from starflow.llm.rows import blocks, documents, saved
+from starflow.llm.rows import blocks, documents, row_key, saved
 from starflow.llm.words import Words, distinct_by_row, mix, stream
 
 _UNFILLED = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -80,7 +80,7 @@ def _digests(values: np.ndarray, first: np.ndarray) -> list[bytes]:
 
 
 def sketches(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, n_shingles, digest of the whole set, band keys) of every document."""
+    """(doc_id, row, n_shingles, digest of the whole set, band keys) of every document."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches):
@@ -89,6 +89,7 @@ def sketches(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id"),
+                    "row": batch.column("row"),
                     "n_shingles": pa.array(np.diff(first)),
                     "digest": pa.array(_digests(values, first), pa.binary()),
                     "keys": pa.FixedSizeListArray.from_arrays(
@@ -98,7 +99,7 @@ def sketches(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
             )
 
     return docs.mapInArrow(
-        sketch, "doc_id long, n_shingles long, digest binary, keys array<long>"
+        sketch, "doc_id long, row long, n_shingles long, digest binary, keys array<long>"
     )
 
 
@@ -218,7 +219,7 @@ def near_duplicates(
     rows: int = 6,
     pivot_rounds: int = 2,
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of `docs` (doc_id, text).
+    """(doc_id, row, n_shingles, component_id, kept) of every row of `docs` (doc_id, text).
 
     Documents are linked where their sets of `words`-word shingles have a Jaccard
     similarity of `percent` or more, confirmed on the full sets; a component is named by its
@@ -235,10 +236,10 @@ def near_duplicates(
 
     NULL and empty texts have the empty set and are linked with nothing. A row without
     doc_id is linked with nothing and kept, with a NULL component_id. Rows that repeat a
-    doc_id are judged one by one, by their text, but two texts whose nodes are the same doc_id
+    doc_id are judged one by one, by their text, of which `row` is a hash, but two texts whose nodes are the same doc_id
     count as linked. Repeated rows give equal results.
     """
-    docs = documents(docs)
+    docs = documents(docs).withColumn("row", row_key())
     drawn = saved(sketches(docs, words, bands, rows), "sketches")
     linkable = drawn.filter("doc_id IS NOT NULL AND n_shingles > 0")
     classes = saved(
@@ -328,6 +329,7 @@ def near_duplicates(
         drawn.join(labelled, "digest", "left")
         .select(
             "doc_id",
+            "row",
             "n_shingles",
             F.when(F.col("n_shingles") == 0, F.col("doc_id"))
             .when(F.col("doc_id").isNotNull(), F.col("smallest"))

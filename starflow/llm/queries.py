@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starflow.llm import language_id, sentencepiece_tokens, toxicity
+from starflow.llm import language_id, sentencepiece_tokens, toxicity, warc
 from starflow.llm.decontamination import find_leaks
 from starflow.llm.line_dedup import kept_text, with_bitmaps
 from starflow.llm.minhash import near_duplicates
@@ -38,6 +38,10 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive(warc.as_responses(_table(spark, sf_dir, "pages")))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = language_id.train(docs.filter(~_held_out()))
@@ -104,12 +108,13 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
+    return near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80).drop("row")
 
 
 def queries() -> dict[str, Query]:
     return {
         "op1_benchmark_decontamination": op1_benchmark_decontamination,
+        "op2_warc_derivatives": op2_warc_derivatives,
         "op3_language_id": op3_language_id,
         "op4_pii_surrogates": op4_pii_surrogates,
         "op5_line_dedup": op5_line_dedup,
