@@ -292,11 +292,15 @@ def near_duplicates(
             open_ = members if r == 0 else members.filter("size > 2")
             named = open_.join(names, "node").join(sized, "node")
             draw = F.struct(F.xxhash64("node", F.lit(r)).alias("draw"), "node", "n", "component")
-            pivots = named.groupBy("bucket").agg(F.min(draw).alias("p")).select(
-                "bucket",
-                F.col("p.node").alias("a"),
-                F.col("p.n").alias("n_a"),
-                F.col("p.component").alias("c_a"),
+            # Written, so that the join has plain shuffles on both sides, which AQE can split.
+            pivots = saved(
+                named.groupBy("bucket").agg(F.min(draw).alias("p")).select(
+                    "bucket",
+                    F.col("p.node").alias("a"),
+                    F.col("p.n").alias("n_a"),
+                    F.col("p.component").alias("c_a"),
+                ),
+                "pivots",
             )
             pairs = (
                 named.withColumnRenamed("node", "b")
