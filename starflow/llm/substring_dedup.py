@@ -198,7 +198,10 @@ def remove_repeats(
         .agg(F.first("names").alias("names"))
         .select("row", F.explode("names").alias("name"))
     )
-    shared = named.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name")
+    # Written, so that the join has plain shuffles on both sides, which AQE can split.
+    shared = saved(
+        named.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name"), "names"
+    )
     replies = saved(
         named.join(shared, "name").groupBy("row").agg(F.collect_set("name").alias("shared")),
         "shared",
