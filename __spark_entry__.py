@@ -8,7 +8,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from starflow.columns import GOLD_TABLES, TABLE_NAMES  # noqa: E402
@@ -84,7 +84,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _as_zoneless(df: DataFrame) -> DataFrame:
     """Published timestamps without a zone, the type the oracle's have."""
-    return df.withColumn("EVENT_TIMESTAMP", F.col("EVENT_TIMESTAMP").cast("timestamp_ntz"))
+    return df.withColumn("EVENT_TIMESTAMP", _utc(F.col("EVENT_TIMESTAMP")))
+
+
+def _utc(instant: Column) -> Column:
+    """An instant as date and time in UTC, in any session's zone."""
+    micros = F.timestamp_diff("MICROSECOND", F.timestamp_seconds(F.lit(0)), instant)
+    return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01").cast("timestamp_ntz"))
 
 
 def _events_csv(spark: SparkSession, sf_dir: str) -> str:
@@ -94,13 +100,20 @@ def _events_csv(spark: SparkSession, sf_dir: str) -> str:
 
 
 def csv_scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = read_csv(spark, _events_csv(spark, sf_dir), check_headers=True)
+    raw = read_csv(spark, _events_csv(spark, sf_dir))
     return cast_declared(raw, EVENT_TYPES)
 
 
 def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A clean export, whose lines are checked and which is then read split."""
+    bronze = ingest_bronze(spark, _events_csv(spark, sf_dir), scratch_path(spark, "bronze"))
+    return cast_declared(bronze, EVENT_TYPES)
+
+
+def bronze_ingest_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same export read file by file, as one with line breaks in fields has to be."""
     bronze = ingest_bronze(
-        spark, _events_csv(spark, sf_dir), scratch_path(spark, "bronze"), check_headers=True
+        spark, _events_csv(spark, sf_dir), scratch_path(spark, "bronze"), "whole", spread=True
     )
     return cast_declared(bronze, EVENT_TYPES)
 
@@ -108,13 +121,13 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "silver-csv")
     write_csv(dim_page(bronze_view(spark, sf_dir)), path)
-    return read_csv(spark, path, check_headers=True, keep_empty=True)
+    return read_csv(spark, path, keep_empty=True)
 
 
 def silver_csv_export_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "silver-csv")
     write_csv(fact_events(bronze_view(spark, sf_dir)), path)
-    exported = read_csv(spark, path, check_headers=True, keep_empty=True)
+    exported = read_csv(spark, path, keep_empty=True)
     return cast_declared(exported, {"event_timestamp": "timestamp_ntz"})
 
 
@@ -192,7 +205,6 @@ def _refresh(spark: SparkSession, sf_dir: str) -> tuple[RefreshConfig, DataFrame
         lake_root=f"{root}/lake",
         database="starflow_" + root.rsplit("-", 1)[1],
         database_location=f"{root}/warehouse",
-        check_headers=True,
     )
     return config, run_refresh(spark, config)
 
@@ -263,7 +275,7 @@ def fn_cast_string(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fn_parse_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = parse_timestamp(as_text("ts")).cast("timestamp_ntz").alias("ts")
+    parsed = _utc(parse_timestamp(as_text("ts"))).alias("ts")
     return table(spark, sf_dir, "events").select("event_id", parsed)
 
 
@@ -296,6 +308,7 @@ def queries() -> dict[str, Query]:
     return {
         "csv_scan_typed": csv_scan_typed,
         "bronze_ingest": bronze_ingest,
+        "bronze_ingest_whole": bronze_ingest_whole,
         "bronze_count": bronze_count,
         "drop_columns": drop_columns_query,
         "rename_columns": rename_columns_query,
@@ -357,7 +370,7 @@ bronze AS (
     CASE WHEN e.user_id % 13 <> 0 THEN concat('N', CAST(n.n_nationkey AS STRING)) END AS country_code
   FROM events e
   CROSS JOIN np
-  JOIN pages p ON e.event_id % np.n = p.page_id
+  LEFT JOIN pages p ON e.event_id % np.n = p.page_id
   LEFT JOIN customer cu ON e.user_id = cu.c_custkey
   LEFT JOIN nation n ON cu.c_nationkey = n.n_nationkey
 )
@@ -430,6 +443,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "csv_scan_typed": events,
         "bronze_ingest": events,
+        "bronze_ingest_whole": events,
         "bronze_count": BRONZE_SQL + "SELECT count(*) AS n FROM bronze",
         "drop_columns": "SELECT event_id, ts, user_id, event_type, value FROM events",
         "rename_columns": """

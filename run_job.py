@@ -14,23 +14,32 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from starflow.plans.refresh import STAGES, RefreshConfig, load_counts
+from starflow.plans.bronze import READINGS
+from starflow.plans.refresh import EXTRA_STAGES, STAGES, RefreshConfig, load_counts
 
 
 def parse(arguments: list[str]) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Refresh the clickstream star schema.")
-    parser.add_argument("stage", choices=["all", *STAGES])
+    parser.add_argument("stage", choices=["all", *STAGES, *EXTRA_STAGES])
     parser.add_argument("--raw", required=True, help="raw CSV file, folder or glob")
     parser.add_argument("--lake", required=True, help="root of bronze, silver and gold")
     parser.add_argument("--database", required=True, help="catalog database of the warehouse")
     parser.add_argument("--database-location", help="folder of the database, if it is new")
     parser.add_argument("--date", default="", help="execution date; shown, not used")
     parser.add_argument(
-        "--no-multiline", action="store_true", help="fields hold no line breaks, so files split"
+        "--reading",
+        choices=READINGS,
+        default="check",
+        help="split files at line ends, read each whole, or look first whether they can be split",
     )
     parser.add_argument(
-        "--check-headers", action="store_true", help="fail where the files' headers differ"
+        "--any-headers", action="store_true", help="read columns by place, whatever headers say"
     )
+    parser.add_argument("--spread", action="store_true", help="deal raw rows out by a shuffle")
+    parser.add_argument(
+        "--max-records-per-file", type=int, default=0, help="limit of bronze files; 0 is none"
+    )
+    parser.add_argument("--time-zone", default="UTC", help="zone of times without an offset")
     return parser.parse_args(arguments)
 
 
@@ -41,16 +50,19 @@ def main(arguments: list[str]) -> None:
         lake_root=args.lake,
         database=args.database,
         database_location=args.database_location,
-        multiline=not args.no_multiline,
-        check_headers=args.check_headers,
+        reading=args.reading,
+        check_headers=not args.any_headers,
+        spread=args.spread,
+        max_records_per_file=args.max_records_per_file,
+        time_zone=args.time_zone,
     )
     spark = (
         SparkSession.builder.appName(f"starflow {args.stage} {args.date}".strip())
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
-    for name, stage in STAGES.items():
-        if args.stage in ("all", name):
+    for name, stage in {**STAGES, **EXTRA_STAGES}.items():
+        if args.stage == name or args.stage == "all" and name in STAGES:
             stage(spark, config)
             print(f"{name} done {args.date}".strip())
     if args.stage in ("all", "warehouse"):

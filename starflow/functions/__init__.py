@@ -13,6 +13,7 @@ from starflow.functions.keys import (
 )
 from starflow.functions.scalars import (
     as_text,
+    at_zone,
     declared,
     first_present,
     or_default,
@@ -22,6 +23,7 @@ from starflow.functions.scalars import (
 
 __all__ = [
     "as_text",
+    "at_zone",
     "declared",
     "device_key",
     "digest_key",

@@ -29,16 +29,33 @@ def or_default(column: str | Column, default: str) -> Column:
     return F.coalesce(as_text(column), F.lit(default))
 
 
-def parse_timestamp(column: str | Column) -> Column:
+# Something after the time of day: an offset or the name of a zone.
+_ZONED = r"[T ]\s*\d{1,2}(:\d{1,2}){0,2}(\.\d*)?\s*[A-Za-z+-].*$"
+
+
+def at_zone(local: Column, zone: str) -> Column:
+    """The instant of a local date and time in a zone, whatever the session's zone is.
+
+    A time that the zone skips is moved on by what it skips; one it has twice is the first.
+    """
+    fields = [F.date_part(F.lit(f), local) for f in ("YEAR", "MONTH", "DAY", "HOUR", "MINUTE")]
+    seconds = F.date_part(F.lit("SECOND"), local)
+    return F.make_timestamp(*[f.cast("int") for f in fields], seconds, F.lit(zone))
+
+
+def parse_timestamp(column: str | Column, zone: str = "UTC") -> Column:
     """Timestamp from text, NULL where the text is not one.
 
-    Reads an offset if there is one and the session zone otherwise.
+    Reads an offset or a zone if there is one, and `zone` otherwise; the session's zone
+    plays no part.
     """
-    return F.try_to_timestamp(as_text(column))
+    text = as_text(column)
+    local = at_zone(text.try_cast("timestamp_ntz"), zone)
+    return F.when(text.rlike(_ZONED), F.try_to_timestamp(text)).otherwise(local)
 
 
-def declared(column: str | Column, type_name: str) -> Column:
+def declared(column: str | Column, type_name: str, zone: str = "UTC") -> Column:
     """Text as a declared type, NULL where it does not parse."""
     if type_name == "timestamp":
-        return parse_timestamp(column)
+        return parse_timestamp(column, zone)
     return as_text(column).try_cast(type_name)

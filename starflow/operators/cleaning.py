@@ -33,14 +33,18 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.toDF(*names)
 
 
-def cast_declared(df: DataFrame, types: Mapping[str, str] = DECLARED_TYPES) -> DataFrame:
+def cast_declared(
+    df: DataFrame, types: Mapping[str, str] = DECLARED_TYPES, zone: str = "UTC"
+) -> DataFrame:
     """Cast text columns to their declared types by name; unparsable text becomes NULL.
 
+    Timestamps without an offset are in `zone`.
+
     Columns that are absent, or typed by their source already, stay as they are.
     """
     text = {f.name.lower(): f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
     casts = {
-        text[name.lower()]: declared(F.col(text[name.lower()]), type_name)
+        text[name.lower()]: declared(F.col(text[name.lower()]), type_name, zone)
         for name, type_name in types.items()
         if name.lower() in text
     }
@@ -62,8 +66,8 @@ def unexpected_columns(df: DataFrame) -> list[str]:
     return [name for name in df.columns if name.lower() not in known]
 
 
-def clean(raw: DataFrame) -> DataFrame:
+def clean(raw: DataFrame, zone: str = "UTC") -> DataFrame:
     """Raw export columns to model columns, typed, checked for what silver needs."""
     events = rename_columns(drop_columns(raw, UNUSED_COLUMNS), COLUMN_NAMES)
     needed = [name for names in SILVER_INPUTS.values() for name in names]
-    return cast_declared(require_columns(events, needed))
+    return cast_declared(require_columns(events, needed), zone=zone)

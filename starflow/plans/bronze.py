@@ -6,19 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starflow.sources import one_record_per_line, read_csv, read_parquet, write_parquet
 
-
-def _scan_tasks(df: DataFrame) -> int:
-    """Tasks the scan is planned to have. Plans, but runs nothing."""
-    return df.rdd.getNumPartitions()
+READINGS = ("check", "split", "whole")
 
 
 def ingest_bronze(
     spark: SparkSession,
     raw_path: str | list[str],
     bronze_path: str,
-    multiline: bool = True,
-    check_headers: bool = False,
-    spread: bool | None = None,
+    reading: str = "check",
+    check_headers: bool = True,
+    spread: bool = False,
     max_records_per_file: int = 0,
 ) -> DataFrame:
     """Stage the raw export as Parquet, unchanged, and return it.
@@ -26,26 +23,20 @@ def ingest_bronze(
     CSV is read row by row and whole; from here on each table reads only its own
     columns, in batches.
 
-    With `multiline` a file is one task, and its rows would become one Parquet
-    file that later stages can hardly split. Many files are staged as they come.
-    Where the scan has fewer tasks than the cluster has cores, files worth
-    splitting are first checked for records that span lines: without any they are
-    read split after all. Otherwise their rows are spread by a shuffle. `spread`
-    skips the check and does so, or does not.
-    """
+    reading  how files become tasks; the same for any number of files and cores.
+             `split` cuts files wherever lines end, which is right where no field
+             holds a line break. `whole` gives each file to one task. `check` looks
+             at every line of the whole input, in parallel, and then splits if all
+             records are lines, otherwise reads whole.
+    spread   deal the rows out evenly by a shuffle before they are written.
 
-    def read(multiline: bool) -> DataFrame:
-        return read_csv(spark, raw_path, multiline=multiline, check_headers=check_headers)
-
-    raw = read(multiline)
-    if spread is None and multiline:
-        tasks = _scan_tasks(raw)
-        if tasks < spark.sparkContext.defaultParallelism:
-            split = read(multiline=False)
-            if _scan_tasks(split) > 2 * tasks and one_record_per_line(spark, raw_path):
-                raw = split
-            else:
-                spread = True
+    An export whose fields hold line breaks cannot be split: one large file of that
+    kind is one task, so it should come as many files of moderate size.
+    """
+    if reading not in READINGS:
+        raise ValueError(f"reading is one of {', '.join(READINGS)}, not {reading!r}")
+    split = reading == "split" or reading == "check" and one_record_per_line(spark, raw_path)
+    raw = read_csv(spark, raw_path, multiline=not split, check_headers=check_headers)
     if spread:
         raw = raw.hint("rebalance")
     write_parquet(raw, bronze_path, max_records_per_file=max_records_per_file)

@@ -7,25 +7,33 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starflow.operators import row_count, table_counts, unexpected_columns
+from starflow.columns import UNUSED_COLUMNS
+from starflow.operators import drop_columns, row_count, table_counts, unexpected_columns
 from starflow.plans.bronze import ingest_bronze
 from starflow.plans.gold import build_gold
-from starflow.plans.silver import build_silver
-from starflow.sources import create_tables, load_from_lake, warehouse_tables
+from starflow.plans.silver import build_silver, export_silver
+from starflow.sources import create_tables, load_from_lake, read_parquet, warehouse_tables
 
 log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
 class RefreshConfig:
-    """Where a refresh reads and writes. `lake_root` holds bronze, silver and gold."""
+    """Where a refresh reads and writes, and how. `lake_root` holds bronze, silver and gold.
+
+    `reading`, `check_headers`, `spread` and `max_records_per_file` are those of
+    `ingest_bronze`. Timestamps without an offset are in `time_zone`.
+    """
 
     raw_path: str
     lake_root: str
     database: str
     database_location: str | None = None
-    multiline: bool = True
-    check_headers: bool = False
+    reading: str = "check"
+    check_headers: bool = True
+    spread: bool = False
+    max_records_per_file: int = 0
+    time_zone: str = "UTC"
     concurrent: bool = True
 
     @property
@@ -40,21 +48,41 @@ class RefreshConfig:
     def gold_root(self) -> str:
         return f"{self.lake_root}/gold"
 
+    @property
+    def export_root(self) -> str:
+        return f"{self.lake_root}/export"
+
 
 def ingest(spark: SparkSession, config: RefreshConfig) -> None:
     bronze = ingest_bronze(
-        spark, config.raw_path, config.bronze_path, config.multiline, config.check_headers
+        spark,
+        config.raw_path,
+        config.bronze_path,
+        config.reading,
+        config.check_headers,
+        config.spread,
+        config.max_records_per_file,
     )
     log.info("bronze rows: %d", row_count(bronze).first()["n"])
+    dropped = drop_columns(bronze, UNUSED_COLUMNS)
+    log.info("unused columns dropped: %d", len(bronze.columns) - len(dropped.columns))
     log.info("columns kept in bronze but unknown to the model: %s", unexpected_columns(bronze))
 
 
 def silver(spark: SparkSession, config: RefreshConfig) -> None:
-    build_silver(spark, config.bronze_path, config.silver_root, config.concurrent)
+    build_silver(
+        spark, config.bronze_path, config.silver_root, config.concurrent, config.time_zone
+    )
 
 
 def gold(spark: SparkSession, config: RefreshConfig) -> None:
-    build_gold(spark, config.silver_root, config.gold_root, config.concurrent)
+    build_gold(spark, config.silver_root, config.gold_root, config.concurrent, config.time_zone)
+    facts = row_count(read_parquet(spark, f"{config.gold_root}/fact_events")).first()["n"]
+    log.info("gold fact rows: %d", facts)
+
+
+def export(spark: SparkSession, config: RefreshConfig) -> None:
+    export_silver(spark, config.silver_root, config.export_root, config.concurrent)
 
 
 def warehouse(spark: SparkSession, config: RefreshConfig) -> None:
@@ -66,6 +94,9 @@ def warehouse(spark: SparkSession, config: RefreshConfig) -> None:
 # refresh can be taken up again at the stage that failed.
 STAGES = {"ingest": ingest, "silver": silver, "gold": gold, "warehouse": warehouse}
 
+# On request: silver as CSV, which nothing here reads.
+EXTRA_STAGES = {"export": export}
+
 
 def load_counts(spark: SparkSession, config: RefreshConfig) -> DataFrame:
     """Rows per warehouse table, answered from the files' footers."""

@@ -83,14 +83,18 @@ def silver_tables(events: DataFrame) -> dict[str, DataFrame]:
 
 
 def build_silver(
-    spark: SparkSession, bronze_path: str, silver_root: str, concurrent: bool = True
+    spark: SparkSession,
+    bronze_path: str,
+    silver_root: str,
+    concurrent: bool = True,
+    zone: str = "UTC",
 ) -> None:
     """Write the silver tables from staged bronze.
 
     The six writes read the same Parquet, each only its own few columns. That
     is less than caching the union of those columns would write and read.
     """
-    events = clean(read_parquet(spark, bronze_path))
+    events = clean(read_parquet(spark, bronze_path), zone)
     for_each_table(
         spark,
         SILVER_TABLES,

@@ -62,7 +62,8 @@ def bronze_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     would shuffle the events. Beyond the threshold the join is a sort-merge, and
     AQE splits a user too hot for one of its tasks.
 
-    Host and path are cut out once per page, before the join.
+    Host and path are cut out once per page, before the join. Every event stays: where page ids
+    have gaps, its page is NULL.
     """
     pages = table(spark, sf_dir, "pages")
     page_total = pages.agg(F.max("page_id") + 1).scalar()
@@ -70,7 +71,7 @@ def bronze_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer")
     nations = table(spark, sf_dir, "nation")
     return (
-        events.join(pages.selectExpr(*_PAGE), "page_id")
+        events.join(pages.selectExpr(*_PAGE), "page_id", "left")
         .join(customers, events.user_id == customers.c_custkey, "left")
         .join(nations, customers.c_nationkey == nations.n_nationkey, "left")
         .selectExpr(*_CLICK)

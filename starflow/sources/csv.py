@@ -13,7 +13,7 @@ def read_csv(
     spark: SparkSession,
     path: str | list[str],
     multiline: bool = True,
-    check_headers: bool = False,
+    check_headers: bool = True,
     keep_empty: bool = False,
 ) -> DataFrame:
     """All columns as strings, under the header's names.
@@ -24,8 +24,9 @@ def read_csv(
     multiline      allow line breaks inside quoted fields. Spark then gives each
                    file to one task, so large inputs should come as many files;
                    turn it off where fields hold no line breaks, and files split.
-    check_headers  fail if a file's header differs from the first file's. Off, Spark
-                   reads later files by position. Needs unique, non-blank headers.
+    check_headers  fail if a file's header differs from the first file's. Needs unique,
+                   non-blank headers. Off, Spark reads later files by position, whatever
+                   their headers say.
     keep_empty     read a quoted empty field as '' rather than NULL.
     """
     reader = (

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from uuid import uuid4
@@ -67,12 +66,10 @@ def for_each_table(
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared folder the cluster names in spark.checkpoint.dir.
 
-    Where that is unset, a local master gets a temporary folder of this machine;
-    a cluster gets an error, since its executors would each see their own.
+    Where that is unset, under the warehouse, which every session has and all
+    executors share.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not (spark.conf.get("spark.master", "") or "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="starflow-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
     return f"{base.rstrip('/')}/starflow/{label}-{uuid4().hex}"

@@ -10,6 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from starflow.plans import ingest_bronze
+from starflow.plans import bronze as bronze_module
 from starflow.sources import one_record_per_line, read_csv, write_csv
 
 
@@ -58,7 +59,8 @@ def test_padding_is_kept(spark, tmp_path):
 
 
 def test_repeated_and_blank_headers_are_accepted(spark, tmp_path):
-    df = read(spark, tmp_path, "a,A,a,\n1,2,3,4\n")
+    (tmp_path / "raw.csv").write_text("a,A,a,\n1,2,3,4\n")
+    df = read_csv(spark, str(tmp_path / "raw.csv"), check_headers=False)
     assert df.columns == ["a0", "A1", "a2", "_c3"]
     assert values(df) == [("1", "2", "3", "4")]
 
@@ -67,7 +69,7 @@ def test_files_with_reordered_headers_can_be_refused(spark, tmp_path):
     (tmp_path / "1.csv").write_text("a,b\n1,2\n")
     (tmp_path / "2.csv").write_text("b,a\n2,1\n")
     with pytest.raises(Exception, match="header"):
-        read_csv(spark, str(tmp_path), check_headers=True).collect()
+        read_csv(spark, str(tmp_path)).collect()
 
 
 def test_export_reads_back_unchanged(spark, tmp_path):
@@ -88,11 +90,13 @@ def test_export_keeps_microseconds(spark, tmp_path):
     assert values(read_csv(spark, path)) == [("2024-01-01T00:00:00.123456Z",)]
 
 
-@pytest.mark.parametrize("spread", [None, True, False])
-def test_bronze_equals_the_export(spark, tmp_path, spread):
+@pytest.mark.parametrize("reading, spread", [("check", False), ("whole", True), ("whole", False)])
+def test_bronze_equals_the_export(spark, tmp_path, reading, spread):
     text = 'Unnamed: 0,prop_$host,x.y\n1,"a\nb",007\n2,"c ""d""",\n3,,"  "\n'
     raw = read(spark, tmp_path, text)
-    bronze = ingest_bronze(spark, str(tmp_path / "raw.csv"), str(tmp_path / "bronze"), spread=spread)
+    bronze = ingest_bronze(
+        spark, str(tmp_path / "raw.csv"), str(tmp_path / "bronze"), reading, spread=spread
+    )
     assert bronze.schema == raw.schema
     assert sorted(values(bronze)) == sorted(values(raw))
     assert sorted(values(bronze))[0] == ("1", "a\nb", "007")
@@ -141,16 +145,47 @@ def test_long_quoted_fields_are_checked_without_overflow(spark, tmp_path):
     assert one_record_per_line(spark, str(tmp_path / "raw.csv"))
 
 
-@pytest.mark.parametrize("broken", [False, True])
-def test_a_large_lone_file_is_staged_in_many_tasks(spark, tmp_path, broken):
-    """Split where no record spans lines, spread where one does; the rows are the same."""
+def many_lines(path, rows, broken=False):
     pad = random.Random(0)
     note = '"line1\nline2"' if broken else '"say ""hi"", bye"'
-    lines = [f"{i},{pad.randbytes(100).hex()},{note if i == 70_000 else 'plain'}" for i in range(100_000)]
-    (tmp_path / "raw.csv").write_text("id,pad,note\n" + "\n".join(lines) + "\n")
+    lines = [f"{i},{pad.randbytes(100).hex()},{note if i == rows // 2 else 'plain'}" for i in range(rows)]
+    path.write_text("id,pad,note\n" + "\n".join(lines) + "\n")
+
+
+@pytest.mark.parametrize("broken", [False, True])
+def test_a_large_lone_file_is_split_unless_a_record_spans_lines(spark, tmp_path, broken):
+    many_lines(tmp_path / "raw.csv", 100_000, broken)
     bronze = ingest_bronze(spark, str(tmp_path / "raw.csv"), str(tmp_path / "bronze"))
-    assert len(list((tmp_path / "bronze").glob("*.parquet"))) > 1
+    files = len(list((tmp_path / "bronze").glob("*.parquet")))
+    assert files == 1 if broken else files > 1
     whole = read_csv(spark, str(tmp_path / "raw.csv"))
     assert bronze.count() == 100_000
     assert bronze.exceptAll(whole).isEmpty()
-    assert bronze.filter("id = 70000").first().note == ("line1\nline2" if broken else 'say "hi", bye')
+    assert bronze.filter("id = 50000").first().note == ("line1\nline2" if broken else 'say "hi", bye')
+
+
+def test_a_large_file_among_many_small_ones_is_split(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    many_lines(tmp_path / "raw" / "large.csv", 60_000)
+    for i in range(12):
+        many_lines(tmp_path / "raw" / f"small{i}.csv", 100)
+    bronze = ingest_bronze(spark, str(tmp_path / "raw"), str(tmp_path / "bronze"))
+    counts = [r["count"] for r in bronze.groupBy("_metadata.file_path").count().collect()]
+    assert sum(counts) == 61_200 and max(counts) < 60_000
+
+
+@pytest.mark.parametrize("reading", ["check", "split", "whole"])
+def test_how_files_are_read_does_not_depend_on_cores(spark, tmp_path, reading, monkeypatch):
+    """The same reading, whatever number of cores is registered."""
+    many_lines(tmp_path / "raw.csv", 200)
+    asked = []
+    real = bronze_module.read_csv
+    monkeypatch.setattr(
+        bronze_module, "read_csv", lambda *a, **k: asked.append(k["multiline"]) or real(*a, **k)
+    )
+    for cores in (2, 8):
+        monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", cores)
+        ingest_bronze(spark, str(tmp_path / "raw.csv"), str(tmp_path / f"b{cores}"), reading)
+    assert asked == [reading == "whole"] * 2
+    with pytest.raises(ValueError, match="check, split, whole"):
+        ingest_bronze(spark, str(tmp_path / "raw.csv"), str(tmp_path / "b"), "auto")

@@ -96,3 +96,22 @@ def _shuffle_records(df) -> int:
         return here + sum(visit(children.apply(i)) for i in range(children.size()))
 
     return visit(df._jdf.queryExecution().executedPlan())
+
+
+def test_columns_may_have_any_name(spark):
+    names = ["x.y", "first", "a`b", "k0", "p1"]
+    df = spark.createDataFrame([(1, "b", 2, "k", 5), (1, "a", 1, "k", 6)], ["k", "n", "t", "i", "j"])
+    first = first_row_per_key(df.toDF(*names), ["x.y"], ["a`b", "first"])
+    assert first.columns == names
+    assert [tuple(r) for r in first.collect()] == [(1, "a", 1, "k", 6)]
+
+
+def test_a_key_alone_is_enough(spark):
+    df = spark.createDataFrame([(1,), (1,), (None,)], "k int")
+    assert sorted(first_row_per_key(df, ["k"], []).collect(), key=str) == [(1,), (None,)]
+
+
+def test_map_columns_are_refused_by_name(spark):
+    df = spark.sql("SELECT 1 AS k, map('a', 1) AS tags")
+    with pytest.raises(ValueError, match="tags"):
+        first_row_per_key(df, ["k"], ["k"])

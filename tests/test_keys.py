@@ -94,9 +94,13 @@ def test_numeric_inputs_do_not_break_under_ansi(spark):
     assert numbers.select(fn.page_key()).first()[0] == digest("1.5|")
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
 @pytest.mark.parametrize(
     "text, expected",
     [
+        ("2024-03-10 02:30:00", "2024-03-10 02:30:00"),
+        ("2024-03-10T02:30", "2024-03-10 02:30:00"),
+        ("2025-09-01 10:00:00 Europe/Paris", "2025-09-01 08:00:00"),
         ("2025-09-01 10:00:00.123456+00:00", "2025-09-01 10:00:00.123456"),
         ("2025-09-01T10:00:00Z", "2025-09-01 10:00:00"),
         ("2025-09-01T10:00:00.5+02:00", "2025-09-01 08:00:00.5"),
@@ -106,6 +110,19 @@ def test_numeric_inputs_do_not_break_under_ansi(spark):
         (None, None),
     ],
 )
-def test_parse_timestamp(spark, text, expected):
+def test_parse_timestamp(spark, text, expected, zone):
+    """In any session zone, over a time that one of them skips too."""
     df = spark.createDataFrame([(text,)], "t string")
-    assert df.select(fn.parse_timestamp("t").cast("string")).first()[0] == expected
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        micros = df.select(F.unix_micros(fn.parse_timestamp("t"))).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    found = spark.range(1).select(F.timestamp_micros(F.lit(micros).cast("long")).cast("string"))
+    assert found.first()[0] == expected
+
+
+def test_times_without_offset_are_in_the_zone_asked_for(spark):
+    df = spark.createDataFrame([("2025-09-01 10:00:00",)], "t string")
+    parsed = df.select(fn.parse_timestamp("t", "America/New_York").cast("string"))
+    assert parsed.first()[0] == "2025-09-01 14:00:00"

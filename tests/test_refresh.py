@@ -40,7 +40,6 @@ def config(raw_path, tmp_path):
         str(tmp_path / "lake"),
         f"refresh_{uuid4().hex}",
         str(tmp_path / "warehouse"),
-        check_headers=True,
     )
 
 
@@ -67,7 +66,7 @@ def test_running_twice_gives_the_same_tables(spark, config):
 
 def test_stages_can_be_submitted_one_by_one(spark, config, capsys):
     paths = ["--raw", config.raw_path, "--lake", config.lake_root, "--database", config.database]
-    more = ["--database-location", config.database_location, "--date", "20250901", "--check-headers"]
+    more = ["--database-location", config.database_location, "--date", "20250901"]
     for stage in ("ingest", "silver", "gold", "warehouse"):
         run_job.main([stage, *paths, *more])
     printed = capsys.readouterr().out
@@ -94,6 +93,45 @@ def test_a_failing_table_fails_the_stage(spark):
             for_each_table(spark, TABLE_NAMES, action, concurrent)
 
 
+def test_silver_can_be_exported_by_the_job(spark, config):
+    run_refresh(spark, config)
+    paths = ["--raw", config.raw_path, "--lake", config.lake_root, "--database", config.database]
+    run_job.main(["export", *paths])
+    for name in TABLE_NAMES:
+        silver = read_parquet(spark, f"{config.silver_root}/{name}")
+        exported = read_csv(spark, f"{config.export_root}/{name}", keep_empty=True)
+        assert rows_of(cast_declared(exported)) == rows_of(silver), name
+
+
+def test_job_settings_reach_the_ingest(spark, config):
+    paths = ["--raw", config.raw_path, "--lake", config.lake_root, "--database", config.database]
+    run_job.main(["ingest", *paths, "--reading", "whole", "--spread", "--max-records-per-file", "300"])
+    sizes = read_parquet(spark, config.bronze_path).groupBy("_metadata.file_path").count().collect()
+    assert sum(r["count"] for r in sizes) == 1000 and max(r["count"] for r in sizes) <= 300
+
+
+def test_reordered_headers_fail_a_default_refresh(spark, config, tmp_path):
+    (tmp_path / "1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "2.csv").write_text("b,a\n2,1\n")
+    with pytest.raises(Exception, match="header"):
+        run_refresh(spark, replace(config, raw_path=str(tmp_path / "*.csv")))
+
+
+@pytest.fixture
+def new_york(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    yield
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_times_do_not_depend_on_the_session_zone(spark, config, new_york):
+    run_refresh(spark, config).collect()
+    facts = driver._as_zoneless(warehouse_tables(spark, config.database)["fact_events"])
+    assert rows_of(facts) == oracle(SMALL, ORACLES["gold_fact_events"])
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert_all_tables_equal_their_oracles(spark, config.database)
+
+
 class Session:
     """As much of a session as a scratch path needs."""
 
@@ -101,11 +139,12 @@ class Session:
         self.conf = {f"spark.{key}": value for key, value in settings.items()}
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_path(Session(master="yarn"), "x")
-    assert "starflow" in scratch_path(Session(master="local[2]"), "x")
-    shared = Session(**{"master": "yarn", "checkpoint.dir": "s3a://lake/scratch/"})
+def test_scratch_is_shared_on_every_master():
+    warehouse = {"sql.warehouse.dir": "s3a://lake/warehouse"}
+    for master in ("yarn", "local[2]"):
+        path = scratch_path(Session(master=master, **warehouse), "x")
+        assert path.startswith("s3a://lake/warehouse/starflow/x-")
+    shared = Session(**warehouse, **{"checkpoint.dir": "s3a://lake/scratch/"})
     assert scratch_path(shared, "x").startswith("s3a://lake/scratch/starflow/x-")
 
 

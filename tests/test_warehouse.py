@@ -61,6 +61,48 @@ def test_a_load_replaces_all_rows(spark, database):
     assert loaded(spark, database, "dim_geo") == [("K", "FR")]
 
 
+def test_a_load_that_fails_leaves_the_old_rows(spark, database):
+    load_table(spark, database, "dim_geo", spark.sql("SELECT 'K' AS GEO_KEY, 'DE' AS COUNTRY_CODE"))
+    broken = spark.range(0, 1000, 1, 4).selectExpr(
+        "CASE WHEN id = 900 THEN raise_error('half-way') ELSE 'K2' END AS GEO_KEY", "'FR' AS COUNTRY_CODE"
+    )
+    with pytest.raises(Exception, match="half-way"):
+        load_table(spark, database, "dim_geo", broken)
+    assert loaded(spark, database, "dim_geo") == [("K", "DE")]
+
+
+def test_old_loads_are_removed_and_a_table_can_load_itself(spark, database, tmp_path):
+    for code in ("DE", "FR", "IT", "ES"):
+        rows = spark.sql(f"SELECT 'K' AS GEO_KEY, '{code}' AS COUNTRY_CODE")
+        load_table(spark, database, "dim_geo", rows)
+    load_table(spark, database, "dim_geo", spark.table(table_name(database, "dim_geo")))
+    assert loaded(spark, database, "dim_geo") == [("K", "ES")]
+    assert len(list((tmp_path / "warehouse" / "dim_geo" / "loads").iterdir())) == 2
+
+
+def test_gold_without_a_key_is_refused(spark, database, tmp_path):
+    gold = tmp_path / "gold"
+    for table, columns in GOLD_TABLES.items():
+        names = {c: "USERKEY" if c == "USER_KEY" and table == "dim_user" else c for c in columns}
+        fields = ", ".join(f"CAST(NULL AS {t}) AS {names[c]}" for c, t in columns.items())
+        write_parquet(spark.sql(f"SELECT {fields}"), str(gold / table))
+    with pytest.raises(ValueError, match="dim_user"):
+        load_from_lake(spark, database, str(gold))
+    assert loaded(spark, database, "fact_events") == []
+
+
+def test_mismatched_columns_are_logged(spark, database, caplog):
+    load_table(spark, database, "dim_geo", spark.sql("SELECT 'K' AS GEO_KEY, 1 AS more"))
+    assert "COUNTRY_CODE" in caplog.text and "more" in caplog.text
+
+
+def test_a_location_may_hold_quotes(spark, tmp_path):
+    name = f"wh_{uuid4().hex}"
+    create_tables(spark, name, str(tmp_path / "o'clock"))
+    load_table(spark, name, "dim_geo", spark.sql("SELECT 'K' AS GEO_KEY, 'DE' AS COUNTRY_CODE"))
+    assert loaded(spark, name, "dim_geo") == [("K", "DE")]
+
+
 def test_truncate_leaves_an_empty_table(spark, database):
     load_table(spark, database, "dim_geo", spark.sql("SELECT 'K' AS GEO_KEY, 'DE' AS COUNTRY_CODE"))
     truncate_table(spark, database, "dim_geo")
