@@ -20,7 +20,7 @@ from starflow.llm.decontamination import find_leaks
 from starflow.llm.line_dedup import without_repeated_lines
 from starflow.llm.minhash import near_duplicates
 from starflow.llm.queries import SENTENCEPIECE_MODEL
-from starflow.llm.rows import row_key, saved
+from starflow.llm.rows import row_key, saved, unused
 from starflow.sources import read_parquet
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -33,7 +33,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
         F.crc32(F.col("doc_id").cast("string")) % 5 != 0
     )
     model = toxicity.train(docs, labels)
-    return toxicity.with_toxicity(docs, model, "_score").filter("_score < 0.5").drop("_score")
+    score = unused(docs, "score")
+    return toxicity.with_toxicity(docs, model, score).filter(F.col(score) < 0.5).drop(score)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,15 +47,16 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by a similarity of 0.8 or more of five-word shingles."""
     groups = near_duplicates(docs, words=5, percent=80)
+    doc, row = unused(docs, "of_doc"), unused(docs, "of_row")
     dropped = groups.filter("NOT kept").select(
-        F.col("doc_id").alias("_of_doc"), F.col("row").alias("_of_row")
+        F.col("doc_id").alias(doc), F.col("row").alias(row)
     )
-    same = (docs["doc_id"] == dropped["_of_doc"]) & (row_key() == dropped["_of_row"])
+    same = (docs["doc_id"] == dropped[doc]) & (row_key() == dropped[row])
     return docs.join(dropped.distinct(), same, "left_anti")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
+    """Documents that hold no passage of the benchmark. A row without doc_id cannot be told and stays."""
     leaks = find_leaks(docs, read_parquet(spark, f"{sf_dir}/benchmark.parquet"))
     return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
 

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starflow.llm.rows import documents, row_key, saved
+from starflow.llm.rows import documents, row_key, saved, unused
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -206,31 +206,39 @@ def kept_text(text: str | None, keep: bytes | None) -> str:
     return "\n".join(line for line, bit in zip(lines, bits) if bit)
 
 
-def with_bitmaps(docs: DataFrame, least: int = 10) -> DataFrame:
-    """All columns of `docs`, and `n_lines`, `n_dropped` and `keep`, of which the last is NULL for a row
-    without doc_id: it is kept whole. `docs` has columns doc_id and text."""
+def with_bitmaps(docs: DataFrame, least: int = 10, keep: str = "keep") -> DataFrame:
+    """All columns of `docs`, which has doc_id and text, and each row's bitmap as another, `keep`.
+    It is NULL for a row without doc_id, which is kept whole."""
+    doc, row = unused(docs, "of_doc"), unused(docs, "of_row")
     maps = line_bitmaps(docs, least).select(
-        F.col("doc_id").alias("_of_doc"),
-        F.col("row").alias("_of_row"),
-        F.col("n_lines").alias("_n_lines"),
-        F.col("n_dropped").alias("_n_dropped"),
-        F.col("keep").alias("_keep"),
+        F.col("doc_id").alias(doc), F.col("row").alias(row), F.col("keep").alias(keep)
+    )
+    return docs.join(maps, (docs["doc_id"] == maps[doc]) & (row_key() == maps[row]), "left").drop(
+        doc, row
     )
-    return docs.join(
-        maps, (docs["doc_id"] == maps["_of_doc"]) & (row_key() == maps["_of_row"]), "left"
-    ).drop("_of_doc", "_of_row")
 
 
-def _only_kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts, maps = batch.column("text").to_pylist(), batch.column("_keep").to_pylist()
-        kept = [None if text is None else kept_text(text, keep) for text, keep in zip(texts, maps)]
-        at = batch.schema.get_field_index("text")
-        yield batch.set_column(at, "text", pa.array(kept, pa.string())).drop_columns(["_keep"])
+def bitmap_counts(keep: bytes | None, text: str | None) -> tuple[int, int]:
+    """Lines of a text, and how many of them its bitmap drops."""
+    lines = (text or "").count("\n") + 1
+    if keep is None:
+        return lines, 0
+    return lines, lines - int(np.unpackbits(np.frombuffer(zlib.decompress(keep), np.uint8)).sum())
+
+
+def _only_kept(keep: str):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, maps = batch.column("text").to_pylist(), batch.column(keep).to_pylist()
+            kept = [None if t is None else kept_text(t, bits) for t, bits in zip(texts, maps)]
+            at = batch.schema.get_field_index("text")
+            yield batch.set_column(at, "text", pa.array(kept, pa.string())).drop_columns([keep])
+
+    return cut
 
 
 def without_repeated_lines(docs: DataFrame, least: int = 10) -> DataFrame:
     """`docs`, of which doc_id and text are columns, with texts cut down to the lines they keep.
     A NULL text stays NULL."""
-    fields = ", ".join(f"`{name}` {kind}" for name, kind in docs.dtypes)
-    return with_bitmaps(docs, least).select(*docs.columns, "_keep").mapInArrow(_only_kept, fields)
+    keep = unused(docs, "keep")
+    return with_bitmaps(docs, least, keep).mapInArrow(_only_kept(keep), docs.schema)

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from starflow.llm import language_id, sentencepiece_tokens, toxicity, warc
 from starflow.llm.decontamination import find_leaks
-from starflow.llm.line_dedup import kept_text, with_bitmaps
+from starflow.llm.line_dedup import bitmap_counts, kept_text, with_bitmaps
 from starflow.llm.minhash import near_duplicates
 from starflow.llm.surrogates import pseudonymize
+from starflow.llm.rows import documents
 from starflow.llm.substring_dedup import remove_repeats
 from starflow.llm.winnowing import edited_fingerprints
 from starflow.sources import read_parquet
@@ -58,23 +59,22 @@ def op4_pii_surrogates(
 
 def _kept_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        columns = zip(batch.column("text").to_pylist(), batch.column("_keep").to_pylist())
-        kept = [hashlib.sha256(kept_text(*row).encode()).hexdigest() for row in columns]
+        rows = list(zip(batch.column("text").to_pylist(), batch.column("keep").to_pylist()))
+        kept = [hashlib.sha256(kept_text(*row).encode()).hexdigest() for row in rows]
+        counts = [bitmap_counts(keep, text) for text, keep in rows]
         yield pa.record_batch(
             {
                 "doc_id": batch.column("doc_id"),
-                "n_lines": batch.column("_n_lines").cast(pa.int64()),
-                "n_dropped": batch.column("_n_dropped"),
+                "n_lines": pa.array([lines for lines, _ in counts], pa.int64()),
+                "n_dropped": pa.array([dropped for _, dropped in counts], pa.int64()),
                 "kept_sha256": pa.array(kept, pa.string()),
             }
         )
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    return with_bitmaps(docs).select(
-        "doc_id", "text", "_n_lines", "_n_dropped", "_keep"
-    ).mapInArrow(
+    docs = documents(_table(spark, sf_dir, "documents"))
+    return with_bitmaps(docs).mapInArrow(
         _kept_digests, "doc_id long, n_lines long, n_dropped long, kept_sha256 string"
     )
 

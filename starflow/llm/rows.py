@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from starflow.sources import read_parquet, scratch_path, write_parquet
 
 # Bytes of text that one block of array work covers. A longer text is a block by itself.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def saved(df: DataFrame, label: str) -> DataFrame:
@@ -38,6 +38,14 @@ def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     )
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that `df` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def blocks(
     batches: Iterator[pa.RecordBatch], column: str = "text", size: int = BLOCK_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, pa.LargeStringArray]]:

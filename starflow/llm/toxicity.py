@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from starflow.llm.rows import blocks, documents, saved
 
@@ -225,5 +226,4 @@ def with_toxicity(docs: DataFrame, model: Model, column: str = "score") -> DataF
         for batch, texts in blocks(batches):
             yield batch.append_column(column, pa.array(model.scores(texts)))
 
-    fields = ", ".join(f"`{name}` {kind}" for name, kind in docs.dtypes)
-    return docs.mapInArrow(score, f"{fields}, `{column}` double")
+    return docs.mapInArrow(score, StructType([*docs.schema, StructField(column, DoubleType())]))
