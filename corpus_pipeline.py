@@ -58,7 +58,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark. A row without doc_id cannot be told and stays."""
     leaks = find_leaks(docs, read_parquet(spark, f"{sf_dir}/benchmark.parquet"))
-    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    doc = unused(docs, "of_doc")
+    leaking = leaks.select(F.col("doc_id").alias(doc)).distinct()
+    return docs.join(leaking, docs["doc_id"] == leaking[doc], "left_anti")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,8 +11,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from starflow.llm.rows import documents, row_key, saved, unused
+from starflow.llm.rows import documents, plainly_named, row_key, saved, unused
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -226,13 +227,15 @@ def bitmap_counts(keep: bytes | None, text: str | None) -> tuple[int, int]:
     return lines, lines - int(np.unpackbits(np.frombuffer(zlib.decompress(keep), np.uint8)).sum())
 
 
-def _only_kept(keep: str):
+def _only_kept(text: int, keep: int):
+    """Cuts the texts in one column down by the bitmaps in another, which goes."""
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, maps = batch.column("text").to_pylist(), batch.column(keep).to_pylist()
+            texts, maps = batch.column(text).to_pylist(), batch.column(keep).to_pylist()
             kept = [None if t is None else kept_text(t, bits) for t, bits in zip(texts, maps)]
-            at = batch.schema.get_field_index("text")
-            yield batch.set_column(at, "text", pa.array(kept, pa.string())).drop_columns([keep])
+            cut_down = batch.set_column(text, batch.schema.names[text], pa.array(kept, pa.string()))
+            yield cut_down.remove_column(keep)
 
     return cut
 
@@ -240,5 +243,9 @@ def _only_kept(keep: str):
 def without_repeated_lines(docs: DataFrame, least: int = 10) -> DataFrame:
     """`docs`, of which doc_id and text are columns, with texts cut down to the lines they keep.
     A NULL text stays NULL."""
-    keep = unused(docs, "keep")
-    return with_bitmaps(docs, least, keep).mapInArrow(_only_kept(keep), docs.schema)
+    named = plainly_named(with_bitmaps(docs, least, unused(docs, "keep")))
+    keep = len(docs.columns)
+    kept = named.mapInArrow(
+        _only_kept(docs.columns.index("text"), keep), StructType(named.schema.fields[:keep])
+    )
+    return kept.toDF(*docs.columns)

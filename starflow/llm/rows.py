@@ -46,6 +46,11 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def plainly_named(df: DataFrame) -> DataFrame:
+    """The same columns as c0, c1 and so on, since tasks cannot be given names with dots."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def blocks(
     batches: Iterator[pa.RecordBatch], column: str = "text", size: int = BLOCK_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, pa.LargeStringArray]]:

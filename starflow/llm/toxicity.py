@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from starflow.llm.rows import blocks, documents, saved
+from starflow.llm.rows import blocks, documents, plainly_named, saved
 
 ORDERS = (3, 4, 5)
 _BITS = 18
@@ -222,8 +222,12 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id") -> DataFrame
 def with_toxicity(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     """All columns of `docs`, which has a column text, and the score as another."""
 
+    named = plainly_named(docs)
+    text = named.columns[docs.columns.index("text")]
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in blocks(batches):
-            yield batch.append_column(column, pa.array(model.scores(texts)))
+        for batch, texts in blocks(batches, text):
+            yield batch.append_column("score", pa.array(model.scores(texts)))
 
-    return docs.mapInArrow(score, StructType([*docs.schema, StructField(column, DoubleType())]))
+    scored = StructType([*named.schema, StructField("score", DoubleType())])
+    return named.mapInArrow(score, scored).toDF(*docs.columns, column)
