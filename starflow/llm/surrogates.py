@@ -51,7 +51,8 @@ PATTERNS = {
     "key": r"AKIA[0-9A-Z]{16}",
     "hex": r"(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])[0-9a-f]{16,128}",
     "given": rf"{_ANY_GIVEN}(?=[  ]{_NAME})",
-    "family": rf"(?:(?<={_either(TITLES)}\.? )|(?<={_START}{_ANY_GIVEN} )){_NAME}(?:-{_NAME})?",
+    # The look ahead comes first: looking behind for all titles and names is dear.
+    "family": rf"(?=\p{{Lu}}\p{{Ll}})(?:(?<={_either(TITLES)}\.? )|(?<={_START}{_ANY_GIVEN} )){_NAME}(?:-{_NAME})?",
 }
 PATTERN = _START + "(?:" + "|".join(PATTERNS.values()) + ")" + _END
 
@@ -283,23 +284,20 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     keep belonging together, as given and family names are mapped by themselves.
 
     An entity that very many documents hold is counted once a document and is a hot key of one
-    join only, which AQE splits. Texts without entities are not shuffled. Whoever has `key` can
+    join only, which AQE splits. Texts are searched once, and those with entities once more; all
+    are shuffled once, evenly, to meet their surrogates. Whoever has `key` can
     recompute surrogates, but not turn them back.
 
     NULL and empty texts stay as they are. Rows without doc_id are treated like others. Identical
     rows give equal results.
     """
-    found = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(PATTERN), 0)
-    keyed = documents(docs).withColumn("entities", found)
-    clean = keyed.filter(F.size("entities") == 0).select(
-        "doc_id", "text", F.lit(0).alias("n_entities"), F.lit(0).alias("n_distinct")
-    )
     # Two hashes of the text say which row it is; equal texts have equal surrogates.
-    holding = keyed.filter(F.size("entities") > 0).withColumns(
-        {"row": row_key(), "row2": F.xxhash64(F.lit(1), "text")}
+    keyed = documents(docs).withColumns(
+        {"row": row_key(), "row2": F.xxhash64(F.lit(1), F.coalesce("text", F.lit("")))}
     )
+    found = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(PATTERN), 0)
     mentions = saved(
-        holding.select("row", "row2", F.explode("entities").alias("entity"))
+        keyed.select("row", "row2", F.explode(found).alias("entity"))
         .withColumn("kind", _kind(F.col("entity")))
         .select("row", "row2", "kind", _plain(F.col("entity"), F.col("kind")).alias("plain"))
         .distinct(),
@@ -330,10 +328,15 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     joined = F.array_join(
         F.transform(pieces, lambda p: F.concat(p["before"], F.coalesce(p["new"], F.lit("")))), ""
     )
-    rewritten = holding.join(maps, ["row", "row2"]).select(
-        "doc_id",
-        joined.alias("text"),
-        F.size("entities").alias("n_entities"),
-        F.size("map").alias("n_distinct"),
+    # Only a text that has a map is searched again.
+    has = F.col("map").isNotNull()
+    return (
+        keyed.join(maps, ["row", "row2"], "left")
+        .withColumn("entities", F.when(has, found))
+        .select(
+            "doc_id",
+            F.when(has, joined).otherwise(F.col("text")).alias("text"),
+            F.when(has, F.size("entities")).otherwise(0).alias("n_entities"),
+            F.when(has, F.size("map")).otherwise(0).alias("n_distinct"),
+        )
     )
-    return clean.union(rewritten)
