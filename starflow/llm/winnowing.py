@@ -32,22 +32,22 @@ def _hash(gram: Column) -> Column:
     return F.shiftleft(F.xxhash64(gram).bitwiseAND(0x7FFFFFFF), 32)
 
 
-def _lesser(values: Column, apart: int) -> Column:
-    """The lesser of each value and the one `apart` places on."""
-    n = F.size(values) - apart
-    return F.zip_with(F.slice(values, 1, n), F.slice(values, apart + 1, n), lambda a, b: F.least(a, b))
-
-
 def _window_minima(values: Column, w: int) -> Column:
-    """Minimum of every w consecutive values; of all where there are fewer."""
+    """Minimum of every w consecutive values; of all where there are fewer.
+
+    The minima of 2, 4, 8 ... values come from those of half as many. Values are looked up by
+    place, since slices would copy them. What begins in the last w - 1 places is no window.
+    """
 
     def widen(minima: Column, width: int) -> Column:
-        if width == w:
-            return minima
         apart = min(width, w - width)
-        return _let(_lesser(minima, apart), lambda wider: widen(wider, width + apart))
+        wider = F.transform(minima, lambda x, i: F.least(x, F.get(minima, i + apart)))
+        if width + apart == w:
+            return wider
+        return _let(wider, lambda held: widen(held, width + apart))
 
-    return F.when(F.size(values) >= w, widen(values, 1)).otherwise(F.array(F.array_min(values)))
+    whole = F.slice(widen(values, 1), 1, F.size(values) - (w - 1)) if w > 1 else values
+    return F.when(F.size(values) >= w, whole).otherwise(F.array(F.array_min(values)))
 
 
 def _chosen(text: Column, offset: Column, k: int, w: int) -> Column:
@@ -156,10 +156,15 @@ def joined_grams(
     ).otherwise(F.array_distinct(parts))
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """`docs` (doc_id, row, ...) and a column `next`, the `columns` of the document that follows in
+def with_next(
+    docs: DataFrame, columns: list[str], prepare: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> DataFrame:
+    """`prepare(docs)` and a column `next`, its `columns` of the document that follows in
     descending doc_id; the first document follows the last.
 
+    `docs` has doc_id and row. `prepare` adds columns row by row, once for each document, and
+    once more for one document a range.
+
     Documents are dealt into ranges of doc_id whose limits are approximate percentiles, so
     each range is a task's share. Each range also gets the largest document of the one below (the
     lowest: of the highest), and then finds all followers by itself. Rows that repeat
@@ -176,6 +181,7 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     bounds = F.array(*[F.lit(x).cast("long") for x in limits]) if limits else F.array().cast("array<bigint>")
     # One comparison a limit, against thousands of characters hashed.
     ranged = known.withColumn("range", F.size(F.filter(bounds, lambda x: x <= F.col("doc_id"))))
+    plain = ranged.columns
     # At most one row a range comes to the driver.
     tops = ranged.groupBy("range").agg(F.max(F.struct("doc_id", F.expr("-row AS low"))).alias("top"))
     tops = sorted((r["range"], r["top"]["doc_id"], -r["top"]["low"]) for r in tops.collect())
@@ -187,20 +193,34 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     visiting = (
         ranged.join(F.broadcast(guests), ["doc_id", "row"])
         .withColumn("range", F.col("into"))
-        .drop("into")
-        .withColumn("guest", F.lit(True))
-        .select(*ranged.columns, "guest")
+        .select(*plain)
+        .dropDuplicates(["doc_id", "row"])
     )
     order = Window.partitionBy("range").orderBy("guest", F.desc("doc_id"), "row")
     return (
-        ranged.withColumn("guest", F.lit(False))
-        .union(visiting)
+        prepare(ranged)
+        .withColumn("guest", F.lit(False))
+        .union(prepare(visiting).withColumn("guest", F.lit(True)))
         .withColumn("next", F.lead(F.struct(*columns)).over(order))
         .filter("NOT guest")
         .drop("guest", "range")
     )
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return (
+        documents(docs)
+        .withColumn("row", row_key())
+        .withColumn("text", F.coalesce("text", F.lit("")))
+    )
+
+
+def _with_grams(docs: DataFrame, k: int, w: int) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text")).withColumn(
+        "grams", chosen_grams(F.col("text"), k, w)
+    )
+
+
 def fingerprints(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     """(doc_id, row, text, n_chars, grams) of every row of `docs` (doc_id, text).
 
@@ -208,13 +228,7 @@ def fingerprints(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     ones. `row` tells rows of one doc_id apart; identical rows give equal results. NULL
     texts count as empty.
     """
-    return (
-        documents(docs)
-        .withColumn("row", row_key())
-        .withColumn("text", F.coalesce("text", F.lit("")))
-        .withColumn("n_chars", F.length("text"))
-        .withColumn("grams", chosen_grams(F.col("text"), k, w))
-    )
+    return _with_grams(_keyed(docs), k, w)
 
 
 def edited_fingerprints(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
@@ -224,34 +238,37 @@ def edited_fingerprints(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     of the first of the next document in descending doc_id; of a shorter one by all. Returns doc_id, n_chars,
     edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next and `positions`, those of
     the fingerprint's hashes. For a row without doc_id there is no next document: its
-    third is replaced by nothing, and near_next is 0. Identical rows count once in
-    the order of documents.
+    third is replaced by nothing, and near_next is 0. Identical rows follow each other.
     """
-    held = fingerprints(docs, k, w)
-    chained = with_next(held, ["text", "n_chars", "grams"])
-    lone = held.filter("doc_id IS NULL").withColumn(
+    keyed = _keyed(docs)
+    chained = with_next(keyed, ["text", "n_chars", "grams"], lambda df: _with_grams(df, k, w))
+    lone = _with_grams(keyed.filter("doc_id IS NULL"), k, w).withColumn(
         "next", F.lit(None).cast(chained.schema["next"].dataType)
     )
     both = chained.union(lone.select(*chained.columns))
-    next_text = F.coalesce("next.text", F.lit(""))
-    next_grams = F.coalesce("next.grams", F.array().cast("array<bigint>"))
+    # Sizes as columns: inside a function over an array they would be worked out for each element.
     cut = F.floor(F.col("n_chars") / 3).cast("int")
-    edited = both.select(
+    both = both.select(
         "doc_id",
         "n_chars",
         "grams",
         F.col("next").isNull().alias("lone"),
-        next_grams.alias("next_grams"),
-        F.sha2(
-            F.concat(
-                F.substring("text", F.lit(1), F.col("n_chars") - cut),
-                F.substring(next_text, F.lit(1), cut),
-            ),
-            256,
-        ).alias("edited_sha256"),
+        F.coalesce("next.grams", F.array().cast("array<bigint>")).alias("next_grams"),
+        F.substring("text", F.lit(1), F.col("n_chars") - cut).alias("head"),
+        F.substring(F.coalesce("next.text", F.lit("")), F.lit(1), cut).alias("tail"),
+        (F.col("n_chars") - cut).alias("head_size"),
+        F.coalesce(F.least(cut, "next.n_chars"), F.lit(0)).alias("tail_size"),
+    )
+    edited = both.select(
+        "doc_id",
+        "n_chars",
+        "grams",
+        "lone",
+        "next_grams",
+        F.sha2(F.concat("head", "tail"), 256).alias("edited_sha256"),
         joined_grams(
-            F.col("text"), F.col("grams"), F.col("n_chars") - cut,
-            next_text, next_grams, F.least(cut, F.length(next_text)), k, w,
+            F.col("head"), F.col("grams"), F.col("head_size"),
+            F.col("tail"), F.col("next_grams"), F.col("tail_size"), k, w,
         ).alias("edited_grams"),
     )
     return edited.select(
