@@ -304,14 +304,16 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
         "mentions",
     )
     table = surrogate_table(mentions, key)
-    maps = (
+    # Written, so that copies of one text are a hot key of a join that AQE can split.
+    maps = saved(
         mentions.join(table, ["kind", "plain"])
         .groupBy("row", "row2")
         .agg(
             F.map_from_entries(
                 F.collect_set(F.struct(F.concat_ws("|", "kind", "plain"), "surrogate"))
             ).alias("map")
-        )
+        ),
+        "maps",
     )
 
     def replaced(entity: Column) -> Column:
