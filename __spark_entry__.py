@@ -55,8 +55,8 @@ from starflow.sources import (  # noqa: E402
 )
 
 try:  # the operators for training text may be left out; the rest does not need them
+    import starflow.llm.queries as llm
     import corpus_pipeline
-    from starflow.llm import queries as llm
 except ModuleNotFoundError as missing:
     if missing.name not in ("corpus_pipeline", "starflow.llm", "starflow.llm.queries"):
         raise
