@@ -184,14 +184,14 @@ def _blocked(grouped: DataFrame, sets: DataFrame, size: int, name: str) -> DataF
 def _rest(members: DataFrame, names: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between components for every pair of a bucket that is not yet in one component.
 
-    Each bucket's largest component is its centre. Of any such pair, one at least is
+    The component of a bucket that is largest over all is its centre, so that the buckets of one
+    group have one centre. Of any such pair, one at least is
     outside the centre; the other is in the centre or outside too. So whatever is outside is
     compared with all of the centre and all that is outside it, block by block.
     """
     named = members.join(names, "node")
     largest = (
-        named.groupBy("bucket", "component")
-        .agg(F.count("*").alias("n"))
+        named.join(names.groupBy("component").agg(F.count("*").alias("n")), "component")
         .groupBy("bucket")
         .agg(F.max(F.struct("n", F.col("component").alias("around"))).alias("c"))
         .select("bucket", F.col("c.around").alias("around"))
