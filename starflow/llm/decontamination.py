@@ -7,6 +7,11 @@ differ in at most `radius` bits. To find all such pairs, fingerprints are cut in
 one block at least is that near. For each block a table of all 65,536 values says whether
 it is that near to some item's, which settles nearly all windows by four lookups. Candidates'
 words are then compared with the item's: similarity of the weighted shingles, exact.
+
+Fingerprints find copies; of windows altered up to the limit of similarity most are beyond any
+radius that tells windows apart. Those are found by anchors: so many of an item's shingles, rare ones
+first, that a window without any of them cannot be similar enough. A document that holds an anchor is compared with the
+item at every word, by counts that move along with the window, so none is lost.
 """
 
 from __future__ import annotations
@@ -88,7 +93,9 @@ class Items:
     its first words, a ninth fewer at most, and then compared in its own length.
     """
 
-    def __init__(self, ids: list[int], texts: list[str], radius: int, shingle: int) -> None:
+    def __init__(
+        self, ids: list[int], texts: list[str], radius: int, shingle: int, percent: int
+    ) -> None:
         words = Words(pa.array(texts, pa.large_string()), lower=True, marks=False)
         hashes = words.hashes()
         self.radius, self.shingle = radius, shingle
@@ -118,6 +125,34 @@ class Items:
                 tables[block, (part[:, None] ^ near).reshape(-1)] = True
             items = [(ids[i], len(x), weighted_shingles(x, shingle)) for i, x in zip(held, own)]
             self.sizes[size] = (prints, tables, items)
+        self._anchor(ids, words, hashes, percent)
+
+    def _anchor(self, ids: list[int], words: Words, hashes: np.ndarray, percent: int) -> None:
+        """Anchors of every item that has a shingle. Shorter ones are found as exact copies only."""
+        values, at = words.runs(hashes, self.shingle)
+        first = np.searchsorted(at, words.first)
+        distinct, held = np.unique(values, return_counts=True)
+        self.whole: list[tuple] = []  # id, number of shingles, distinct ones, weight of each
+        anchors: list[np.ndarray] = []
+        for i, item_id in enumerate(ids):
+            own, weights = np.unique(values[first[i] : first[i + 1]], return_counts=True)
+            if not len(own):
+                continue
+            n = int(weights.sum())
+            order = np.argsort(held[np.searchsorted(distinct, own)], kind="stable")
+            # What is left without the anchors is less than the share two similar windows have.
+            left = n - np.cumsum(weights[order])
+            few = int(np.flatnonzero(100 * left < percent * n - 1e-7)[0]) + 1
+            anchors.append(own[order[:few]])
+            self.whole.append((item_id, n, own, weights))
+        every = np.concatenate(anchors) if anchors else np.empty(0, np.uint64)
+        holder = np.repeat(np.arange(len(anchors)), [len(x) for x in anchors])
+        order = np.argsort(every, kind="stable")
+        self.holder = holder[order]
+        self.anchors, begin = np.unique(every[order], return_index=True)
+        self.begin = np.append(begin, len(every))
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(self.anchors & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
 
     def candidates(self, prints: np.ndarray, size: int) -> Iterator[tuple[int, tuple]]:
         """(window, item) of this size whose fingerprints are within the radius."""
@@ -133,6 +168,51 @@ class Items:
                 at, i = divmod(hit, apart.shape[1])
                 yield int(near[at]), items[begin + i]
 
+    def anchored(self, values: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, tuple]]:
+        """(row, item) where a row has an anchor of the item among its shingles."""
+        near = np.flatnonzero(self.maybe.take((values & np.uint64((1 << 20) - 1)).astype(np.int64)))
+        if not len(near):
+            return
+        place = np.minimum(np.searchsorted(self.anchors, values[near]), len(self.anchors) - 1)
+        same = self.anchors[place] == values[near]
+        pairs = set()
+        for at in np.unique(rows[near[same]] * len(self.anchors) + place[same]).tolist():
+            row, anchor = divmod(at, len(self.anchors))
+            pairs.update((row, i) for i in self.holder[self.begin[anchor] : self.begin[anchor + 1]].tolist())
+        for row, i in sorted(pairs):
+            yield row, self.whole[i]
+
+
+def _best_window(values: np.ndarray, item: tuple, percent: int) -> tuple[float, int, int] | None:
+    """Best similarity of an item and a window of a text's shingles, the window's first
+    shingle and how many it has: as many as the item, or all up to the end of the text."""
+    _, n, own, weights = item
+    place = np.minimum(np.searchsorted(own, values), len(own) - 1)
+    inside = own[place] == values
+    sums = np.concatenate(([0], np.cumsum(inside)))
+    start = np.arange(len(values))
+    end = np.minimum(start + n, len(values))
+    most = sums[end] - sums[start]
+    which = np.where(inside, place, -1)
+    have, shared, low, high, best = [0] * len(own), 0, 0, 0, None
+    weights = weights.tolist()
+    for at in np.flatnonzero((100 + percent) * most >= percent * (n + end - start) - 1e-6).tolist():
+        if at >= high:
+            have, shared, low, high = [0] * len(own), 0, at, at
+        for x in which[low:at].tolist():
+            if x >= 0:
+                have[x] -= 1
+                shared -= have[x] < weights[x]
+        for x in which[high : end[at]].tolist():
+            if x >= 0:
+                shared += have[x] < weights[x]
+                have[x] += 1
+        low, high = at, int(end[at])
+        likeness = shared / (n + high - low - shared)
+        if 100 * likeness >= percent - 1e-9 and (best is None or likeness > best[0]):
+            best = (likeness, at, high - low)
+    return best
+
 
 def _matches(words: Words, items: Items, percent: int) -> dict[tuple[int, int], tuple[float, int, int]]:
     """Best similarity, first word and length of each (row, item) that is similar enough."""
@@ -157,6 +237,16 @@ def _matches(words: Words, items: Items, percent: int) -> dict[tuple[int, int],
                 likeness = weighted_similarity(own, shingles)
                 if 100 * likeness >= percent - 1e-9 and likeness > best.get(key, (0.0,))[0]:
                     best[key] = (likeness, start - int(words.first[row]), length)
+    values, at = words.runs(hashes, items.shingle)
+    first = np.searchsorted(at, words.first)
+    for row, item in items.anchored(values, words.row[at]):
+        key = (row, item[0])
+        if best.get(key, (0.0,))[0] == 1.0:
+            continue
+        found = _best_window(values[first[row] : first[row + 1]], item, percent)
+        if found and found[0] >= best.get(key, (0.0,))[0]:
+            likeness, start, n = found
+            best[key] = (likeness, start, n + items.shingle - 1)
     return best
 
 
@@ -192,9 +282,10 @@ def find_leaks(
     that holds an item of `benchmark` (item_id, text).
 
     Words are runs of letters and digits, and of any characters beyond ASCII; case of A-Z doesn't
-    count. A window matches an item of the same number of words if their SimHashes differ in at
-    most `radius` bits and the weighted Jaccard similarity of their `shingle`-word shingles is
-    `percent` % or more; of equals the first window stands. An exact copy always matches.
+    count. A window has as many words as the item, or fewer where the document ends. It matches if
+    the weighted Jaccard similarity of their `shingle`-word shingles is `percent` % or more; of
+    equals the first window stands. Every window is found, whatever the `radius` within which
+    SimHashes are compared: that only decides which are found by fingerprint and which by anchor.
 
     The benchmark is the query set. It goes to the tasks in blocks of at most `block_bytes` of
     text, each of which is compared with all documents by one pass without a shuffle; an
@@ -210,7 +301,7 @@ def find_leaks(
     passes, ids, texts, held = [], [], [], 0
 
     def add() -> None:
-        items = Items(ids, texts, radius, shingle)
+        items = Items(ids, texts, radius, shingle, percent)
         passes.append(searched.mapInArrow(_search(items, percent), schema))
 
     for item in queries.orderBy("item_id", "text").toLocalIterator():

@@ -86,6 +86,45 @@ def test_altered_passages_and_blocks_of_items(spark):
         assert len(got) >= 0.9 * len(expected)
 
 
+def test_passages_altered_up_to_the_limit_equal_brute_force(spark):
+    draw = random.Random(5)
+    items, docs = [], []
+    for size in (15, 22, 31, 40, 49, 59, 120, 200, 500):
+        text = [f"q{draw.randint(0, 5000)}" for _ in range(size)]
+        items.append((size, " ".join(text)))
+        spare = (size - 4) // 9  # shingles that may go
+        for i in range(12):
+            words, n = list(text), spare + (i % 4 == 3)  # the last ones are beyond the limit
+            at = (0, size - n, draw.randint(0, size - n))[i % 3]
+            n = n if at in (0, size - n) else max(n - 4, 0)
+            words[at : at + n] = [f"c{draw.randint(0, 900)}" for _ in range(n)]
+            if i == 10:  # halves that changed places
+                words = text[size // 2 :] + text[: size // 2]
+            if i == 11:  # a word put in, the window shifts
+                words = text[: size // 3] + ["put"] + text[size // 3 :]
+            around = [f"z{draw.randint(0, 900)}" for _ in range(2 * size)]
+            docs.append((1000 * size + i, " ".join(around[:size] + words + around[size:])))
+    expected = _leaks(docs, items)
+    assert len({i for _, i in expected}) == len(items) and len(expected) >= 60
+    assert min(expected.values()) < 0.81
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in find_leaks(df, bench).collect()}
+    assert got == {k: pytest.approx(v) for k, v in expected.items()}
+
+
+def test_a_window_ends_with_its_document(spark):
+    words = [f"w{i}" for i in range(40)]
+    docs = [
+        (1, "before that " + " ".join(words[:37])), (2, " ".join(words[:-1])), (3, " ".join(words[3:])),
+        (4, " ".join(words[:30])), (5, " ".join(words[10:]) + " after"),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    got = {(r.doc_id, round(r.similarity, 6), r.start_word, r.n_words) for r in find_leaks(df, bench).collect()}
+    assert got == {(1, round(33 / 36, 6), 2, 37), (2, round(35 / 36, 6), 0, 39), (3, round(33 / 36, 6), 0, 37)}
+
+
 def test_leaks_of_odd_rows(spark, odd_docs, no_docs):
     bench = spark.createDataFrame([(1, "Quick brown fox jumps over the lazy dog"), (2, "x"), (2, "na na na")], "item_id long, text string")
     got = Counter((r.doc_id, r.item_id) for r in find_leaks(odd_docs, bench).collect())
