@@ -44,12 +44,12 @@ _ANY_GIVEN = _either(" ".join(GIVEN.values()))
 _NAME = r"\p{Lu}\p{Ll}+"
 _START, _END = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 PATTERNS = {
-    "email": r"[A-Za-z0-9](?:[A-Za-z0-9._%+\-]{0,63})@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+",
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+\-]*+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+",
     "phone": r"\+[1-9]\d{0,2}(?:[ .\-]?\(\d{1,4}\))?(?:[ .\-]?\d{2,4}){2,4}",
     "ip": r"(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)",
     "card": r"\d(?:[ \-]?\d){12,18}",
     "key": r"AKIA[0-9A-Z]{16}",
-    "hex": r"(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])[0-9a-f]{16,128}",
+    "hex": r"(?=[a-fA-F]*+[0-9])(?=[0-9]*+[a-fA-F])[0-9a-fA-F]{16,}+",
     "given": rf"{_ANY_GIVEN}(?=[  ]{_NAME})",
     # The look ahead comes first: looking behind for all titles and names is dear.
     "family": rf"(?=\p{{Lu}}\p{{Ll}})(?:(?<={_either(TITLES)}\.? )|(?<={_START}{_ANY_GIVEN} )){_NAME}(?:-{_NAME})?",
@@ -62,7 +62,7 @@ def _kind(entity: Column) -> Column:
     kind = F.when(entity.contains("@"), "email").when(entity.startswith("+"), "phone")
     kind = kind.when(entity.rlike(r"^\d+(\.\d+){3}$"), "ip").when(entity.rlike(r"^[\d \-]+$"), "card")
     kind = kind.when(entity.rlike("^AKIA[0-9A-Z]{16}$"), "key")
-    kind = kind.when(entity.rlike("^[0-9a-f]{16,128}$"), "hex")
+    kind = kind.when(entity.rlike("^[0-9a-fA-F]{16,}$"), "hex")
     for name, words in GIVEN.items():
         kind = kind.when(entity.isin(words.split()), f"given_{name}")
     feminine = kind.when(entity.rlike(r"^\p{IsCyrillic}.*[ая]$"), "family_cyrillic_f")
@@ -122,7 +122,15 @@ def _hex_like(text: Column, draws: Column) -> Column:
             F.lit(1),
         ),
     )
-    return F.array_join(chars, "")
+    # A secret beyond the 128 digits that the draws hold goes on with hashes of them.
+    more = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.ceil((F.length(text) - 128) / 64).cast("int"), F.lit(1))),
+        lambda i: F.sha2(F.concat_ws(",", draws.cast("array<string>"), i.cast("string")), 256),
+    )
+    rest = F.substring(F.array_join(more, ""), F.lit(1), F.length(text) - 128)
+    return F.when(
+        F.length(text) > 128, F.concat(F.array_join(F.slice(chars, 1, 128), ""), rest)
+    ).otherwise(F.array_join(chars, ""))
 
 
 def _draws(secret: Column) -> Column:
@@ -271,7 +279,7 @@ def _rendered(entity: Column, kind: Column, surrogate: Column) -> Column:
         .otherwise(surrogate)
     )
     cased = F.when(surrogate.contains("-") & kind.startswith("given"), F.replace(cased, F.lit(" "), F.lit("-"))).otherwise(cased)
-    return F.when(kind.isin("phone", "card"), filled).when(kind.isin("ip", "key", "hex"), surrogate).otherwise(cased)
+    return F.when(kind.isin("phone", "card"), filled).when(kind.isin("ip", "key"), surrogate).otherwise(cased)
 
 
 def pseudonymize(docs: DataFrame, key: str) -> DataFrame:

@@ -256,6 +256,19 @@ def test_surrogates_keep_kind_spelling_and_coreference(spark):
     assert {r.doc_id: r.text for r in pseudonymize(docs.repartition(4), "k").collect()} == text
 
 
+def test_secrets_of_either_case_and_any_length(spark):
+    token, long = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B", "0a1b2c3d4e5f6789" * 16
+    local = "first.last-" + "x" * 70 + ".end"
+    text = f'TOKEN = "{token}"; {token.lower()} {long} {long[:-1]}0 {local}@mail.example.com {"a." * 2000}'
+    row = pseudonymize(spark.createDataFrame([(1, text)], "doc_id long, text string"), "k").first()
+    assert (row.n_entities, row.n_distinct) == (5, 4)
+    upper, lower, first, second, mail = re.match(
+        r'TOKEN = "([0-9A-F]{40})"; ([0-9a-f]{40}) ([0-9a-f]{256}) ([0-9a-f]{256}) (\S+)@\S+ a\.', row.text
+    ).groups()
+    assert upper == lower.upper() != token and len({first, second, long}) == 3
+    assert len(set(first[128:])) == 16 and len(mail) == len(local) and "x" * 9 not in mail
+
+
 def test_no_surrogate_is_used_twice_or_real(spark):
     """So many entities of one small space that draws must collide."""
     rows = [("email", f"{c}@b.co") for c in "abcdefghijklmnopqrstuvwxyz"] + [("email", f"{c}@d.co") for c in "abcdefghijklmnopqrstuvwxyz"]
