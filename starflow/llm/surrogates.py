@@ -41,8 +41,10 @@ def _either(words: str) -> str:
 
 
 _ANY_GIVEN = _either(" ".join(GIVEN.values()))
-_NAME = r"\p{Lu}\p{Ll}+"
 _START, _END = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+# With inner capitals and apostrophes (McDonald, O'Brien), or in capitals; without a possessive 's.
+_NAME = rf"\p{{Lu}}(?:\p{{L}}|['’](?![Ss]{_END})\p{{Lu}})+"
+_SPACE = "[ \u00a0]"
 PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+\-]*+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+",
     "phone": r"\+[1-9]\d{0,2}(?:[ .\-]?\(\d{1,4}\))?(?:[ .\-]?\d{2,4}){2,4}",
@@ -50,13 +52,22 @@ PATTERNS = {
     "card": r"\d(?:[ \-]?\d){12,18}",
     "key": r"AKIA[0-9A-Z]{16}",
     "hex": r"(?=[a-fA-F]*+[0-9])(?=[0-9]*+[a-fA-F])[0-9a-fA-F]{16,}+",
-    "given": rf"{_ANY_GIVEN}(?=[  ]{_NAME})",
-    # The look ahead comes first: looking behind for all titles and names is dear.
-    "family": rf"(?=\p{{Lu}}\p{{Ll}})(?:(?<={_either(TITLES)}\.? )|(?<={_START}{_ANY_GIVEN} )){_NAME}(?:-{_NAME})?",
+    "given": rf"(?:{_ANY_GIVEN}|{_ANY_GIVEN.upper()})(?={_SPACE}{_NAME})",
+    # The look ahead comes first: looking behind for all titles and names is dear. A title in
+    # capitals goes with a name in capitals, so that 'MS Word' is none.
+    "family": rf"(?=\p{{Lu}}[\p{{L}}'’])(?:(?<={_either(TITLES)}\.?{_SPACE})|(?<={_START}(?:{_ANY_GIVEN}|{_ANY_GIVEN.upper()}){_SPACE})|(?<={_START}{_either(TITLES).upper()}\.?{_SPACE})(?!\p{{L}}*\p{{Ll}})){_NAME}(?:-{_NAME})?",
 }
 PATTERN = _START + "(?:" + "|".join(PATTERNS.values()) + ")" + _END
 
 
+def _pattern_with(names: Column) -> Column:
+    """The pattern that also finds these names (plain ones) by themselves, in any case but lower."""
+    longest = F.reverse(F.array_sort(F.transform(names, lambda n: F.struct(F.length(n).alias("n"), n.alias("name")))))
+    either = F.array_join(F.transform(longest, lambda x: F.replace(x["name"], F.lit("'"), F.lit("['’]"))), "|")
+    bare = F.concat(F.lit(PATTERN[: -len(_END) - 1] + r"|(?=\p{Lu})(?iu:"), either, F.lit("))" + _END))
+    return F.when(F.size(names) > 0, bare).otherwise(F.lit(PATTERN))
+
+
 def _kind(entity: Column) -> Column:
     """Which pattern an entity is of; of a name also its gender and script."""
     kind = F.when(entity.contains("@"), "email").when(entity.startswith("+"), "phone")
@@ -64,8 +75,8 @@ def _kind(entity: Column) -> Column:
     kind = kind.when(entity.rlike("^AKIA[0-9A-Z]{16}$"), "key")
     kind = kind.when(entity.rlike("^[0-9a-fA-F]{16,}$"), "hex")
     for name, words in GIVEN.items():
-        kind = kind.when(entity.isin(words.split()), f"given_{name}")
-    feminine = kind.when(entity.rlike(r"^\p{IsCyrillic}.*[ая]$"), "family_cyrillic_f")
+        kind = kind.when(F.lower(entity).isin(words.lower().split()), f"given_{name}")
+    feminine = kind.when(F.lower(entity).rlike(r"^\p{IsCyrillic}.*[ая]$"), "family_cyrillic_f")
     return feminine.when(entity.rlike(r"^\p{IsCyrillic}"), "family_cyrillic").otherwise("family_latin")
 
 
@@ -73,7 +84,7 @@ def _plain(entity: Column, kind: Column) -> Column:
     """What has to agree for two mentions to be the same entity."""
     digits = F.regexp_replace(entity, r"\D", "")
     return F.when(kind.isin("phone", "card"), digits).otherwise(
-        F.when(kind.isin("ip", "key"), entity).otherwise(F.lower(entity))
+        F.when(kind.isin("ip", "key"), entity).otherwise(F.translate(F.lower(entity), "’", "'"))
     )
 
 
@@ -288,8 +299,9 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
 
     Recognised are e-mail addresses, phone numbers with a country code, IPv4 addresses, card and
     account numbers of 13 to 19 digits, access keys and hexadecimal secrets, given names
-    before a family name, and family names after a title or a given name. Names of one person
-    keep belonging together, as given and family names are mapped by themselves.
+    before a family name, and family names after a title or a given name. A name found so is
+    replaced wherever the same text has it again, by itself too, unless in lower case. Names of one
+    person keep belonging together, as given and family names are mapped by themselves.
 
     An entity that very many documents hold is counted once a document and is a hot key of one
     join only, which AQE splits. Texts are searched once, and those with entities once more; all
@@ -319,8 +331,11 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
         .agg(
             F.map_from_entries(
                 F.collect_set(F.struct(F.concat_ws("|", "kind", "plain"), "surrogate"))
-            ).alias("map")
-        ),
+            ).alias("map"),
+            F.collect_set(F.when(F.col("kind").rlike("^(given|family)"), F.col("plain"))).alias("names"),
+        )
+        .withColumn("pattern", _pattern_with(F.col("names")))
+        .drop("names"),
         "maps",
     )
 
@@ -329,10 +344,10 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
             held = F.element_at(F.col("map"), F.concat_ws("|", kind, _plain(entity, kind)))
             return F.transform(F.array(held), lambda s: _rendered(entity, kind, s)).getItem(0)
 
-        return F.transform(F.array(_kind(entity)), known).getItem(0)
+        return F.coalesce(F.transform(F.array(_kind(entity)), known).getItem(0), entity)
 
     pieces = F.arrays_zip(
-        F.split("text", PATTERN, -1).alias("before"),
+        F.split("text", F.col("pattern"), -1).alias("before"),
         F.transform("entities", replaced).alias("new"),
     )
     joined = F.array_join(
@@ -342,7 +357,7 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     has = F.col("map").isNotNull()
     return (
         keyed.join(maps, ["row", "row2"], "left")
-        .withColumn("entities", F.when(has, found))
+        .withColumn("entities", F.when(has, F.regexp_extract_all("text", F.col("pattern"), F.lit(0))))
         .select(
             "doc_id",
             F.when(has, joined).otherwise(F.col("text")).alias("text"),

@@ -269,6 +269,29 @@ def test_secrets_of_either_case_and_any_length(spark):
     assert len(set(first[128:])) == 16 and len(mail) == len(local) and "x" * 9 not in mail
 
 
+def test_people_are_replaced_wherever_their_document_names_them(spark):
+    docs = [
+        (1, "Mr Smith met Anna Lopez. Smith left, Lopez stayed; Anna's and SMITH'S. A smith, Smithson."),
+        (2, "John McDonald, Maria O'Brien, Dr. O’Brien, JOHN MCDONALD, MRS LOPEZ; McDonald and O'Brien's"),
+        (3, "Smith and Anna"),
+        (4, "Anna\u00a0Lopez wrote. Lopez, ИВАН ПЕТРОВ, Петров. MS Word"),
+    ]
+    rows = pseudonymize(spark.createDataFrame(docs, "doc_id long, text string"), "k").collect()
+    text = {r.doc_id: r.text for r in rows}
+    smith, anna, lopez = re.match(
+        r"Mr (\w+) met (\w+) (\w+)\. \1 left, \3 stayed; \2's and (?:[A-Z]+)'S\. A smith, Smithson\.$", text[1]
+    ).groups()
+    assert f"{smith.upper()}'S" in text[1] and not {smith, anna, lopez} & {"Smith", "Anna", "Lopez"}
+    john, mcdonald, maria, obrien = re.match(r"(\w+) (\w+), (\w+) (\w+), Dr\. \4, ", text[2]).groups()
+    assert text[2] == (
+        f"{john} {mcdonald}, {maria} {obrien}, Dr. {obrien}, {john} {mcdonald}, MRS {lopez}; {mcdonald} and {obrien}'s"
+    ).replace(f"{john} {mcdonald}, MRS {lopez}", f"{john} {mcdonald}, MRS {lopez}".upper())
+    assert text[3] == "Smith and Anna"
+    assert re.match(rf"{anna}\u00a0{lopez} wrote\. {lopez}, [А-ЯЁ]+ ([А-ЯЁ]+), (\w+)\. MS Word$", text[4])
+    assert text[4].split(", ")[2].split(".")[0].upper() == text[4].split(", ")[1].split(" ")[1] != "ПЕТРОВ"
+    assert {r.doc_id: (r.n_entities, r.n_distinct) for r in rows}[1] == (7, 3)
+
+
 def test_no_surrogate_is_used_twice_or_real(spark):
     """So many entities of one small space that draws must collide."""
     rows = [("email", f"{c}@b.co") for c in "abcdefghijklmnopqrstuvwxyz"] + [("email", f"{c}@d.co") for c in "abcdefghijklmnopqrstuvwxyz"]
