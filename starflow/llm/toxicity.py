@@ -45,9 +45,8 @@ def ngram_buckets(data: np.ndarray, ends: np.ndarray, order: int) -> tuple[np.nd
     hashed *= np.uint32(0x2C1B3C6D)
     inside = np.ones(len(data) + order, bool)
     for j in range(1, order):
-        inside[np.maximum(ends - j, 0)] = False
-    # A text shorter than the n-gram hides only places whose n-gram leaves their text anyway,
-    # but for the very first bytes, which maximum() may hide; no n-gram of a text starts there then.
+        # A text shorter than the n-gram hides only places whose n-gram leaves their text anyway.
+        inside[(ends - j)[ends >= j]] = False
     return (hashed >> np.uint32(32 - _BITS)).astype(np.int64), inside[:n]
 
 

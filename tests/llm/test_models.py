@@ -145,6 +145,15 @@ def test_ngrams_stay_in_their_text():
         assert starts.tolist() == expected
 
 
+def test_ngrams_of_a_block_that_begins_with_empty_texts():
+    for texts in (["", "abcdefg"], ["", "", "abcde", "x"], ["a", "abcdef"], ["ab", "", "abcdef"], [""]):
+        data, row_at = toxicity._flat(pa.array(texts, pa.large_string()))
+        for order in (3, 4, 5):
+            _, inside = toxicity.ngram_buckets(data, row_at[1:], order)
+            expected = [row_at[i] + j for i, t in enumerate(texts) for j in range(len(t) - order + 1)]
+            assert np.flatnonzero(inside).tolist() == expected
+
+
 needs_model = pytest.mark.skipif(MODEL is None, reason="no model file")
 
 
