@@ -56,11 +56,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark. A row without doc_id cannot be told and stays."""
+    """Documents that hold no passage of the benchmark. Rows are judged one by one, also those without
+    doc_id and those that share one."""
     leaks = find_leaks(docs, read_parquet(spark, f"{sf_dir}/benchmark.parquet"))
-    doc = unused(docs, "of_doc")
-    leaking = leaks.select(F.col("doc_id").alias(doc)).distinct()
-    return docs.join(leaking, docs["doc_id"] == leaking[doc], "left_anti")
+    doc, row = unused(docs, "of_doc"), unused(docs, "of_row")
+    leaking = leaks.select(F.col("doc_id").alias(doc), F.col("row").alias(row)).distinct()
+    same = docs["doc_id"].eqNullSafe(leaking[doc]) & (row_key() == leaking[row])
+    return docs.join(leaking, same, "left_anti")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

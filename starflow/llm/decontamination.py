@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starflow.llm.rows import blocks, documents
+from starflow.llm.rows import blocks, documents, row_key
 from starflow.llm.words import Words
 
 _BLOCKS = 4
@@ -260,6 +260,7 @@ def _search(items: Items, percent: int):
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id").take(pa.array([row for row, _ in keys])),
+                    "row": batch.column("row").take(pa.array([row for row, _ in keys])),
                     "item_id": pa.array([item for _, item in keys], pa.int64()),
                     "similarity": pa.array([found[k][0] for k in keys]),
                     "start_word": pa.array([found[k][1] for k in keys], pa.int32()),
@@ -278,7 +279,7 @@ def find_leaks(
     percent: int = 80,
     block_bytes: int = 16 << 20,
 ) -> DataFrame:
-    """(doc_id, item_id, similarity, start_word, n_words): the best window of each document
+    """(doc_id, row, item_id, similarity, start_word, n_words): the best window of each document
     that holds an item of `benchmark` (item_id, text).
 
     Words are runs of letters and digits, and of any characters beyond ASCII; case of A-Z doesn't
@@ -290,14 +291,14 @@ def find_leaks(
     The benchmark is the query set. It goes to the tasks in blocks of at most `block_bytes` of
     text, each of which is compared with all documents by one pass without a shuffle; an
     item by itself makes at least one block. Rows with no words, or no id, match nothing. Documents without id
-    are searched too and give a NULL doc_id. Rows that repeat a doc_id or an item_id are each searched.
+    are searched too and give a NULL doc_id; `row` is a hash of the text. Rows that repeat a doc_id or an item_id are each searched.
     """
     spark = docs.sparkSession
     queries = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
     ).filter("item_id IS NOT NULL AND text IS NOT NULL")
-    searched = documents(docs)
-    schema = "doc_id long, item_id long, similarity double, start_word int, n_words int"
+    searched = documents(docs).withColumn("row", row_key())
+    schema = "doc_id long, row long, item_id long, similarity double, start_word int, n_words int"
     passes, ids, texts, held = [], [], [], 0
 
     def add() -> None:

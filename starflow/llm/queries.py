@@ -36,7 +36,8 @@ def _held_out(doc_id: str = "doc_id") -> Column:
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    leaks = find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return leaks.drop("row")
 
 
 def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:

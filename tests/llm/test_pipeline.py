@@ -71,6 +71,14 @@ def test_leaking_documents_go_and_others_stay(spark, steps):
     assert gone and {r.doc_id for r in after.collect()} == {r.doc_id for r in before.collect()} - gone
 
 
+def test_exactly_the_leaking_rows_go(spark):
+    passage = spark.read.parquet(f"{MEDIUM}/benchmark.parquet").orderBy("item_id").first().text
+    rows = [(None, passage), (None, "clean"), (None, None), (1, passage), (1, "clean too"), (2, "x " + passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = corpus_pipeline.drop_leaks(spark, docs, MEDIUM).collect()
+    assert {tuple(r) for r in left} == {(None, "clean"), (None, None), (1, "clean too")} and len(left) == 3
+
+
 def test_all_that_is_left_is_encoded(spark, steps):
     before, after = steps["tokens"]
     assert after.count() == before.count() and after.filter("NOT round_trip").isEmpty()
