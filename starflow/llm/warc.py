@@ -8,6 +8,7 @@ import html
 import json
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -64,6 +65,75 @@ def _value(headers: list[tuple[str, str]], name: str) -> str | None:
     return next((v for n, v in headers if n.lower() == name.lower()), None)
 
 
+def _codings(headers: list[tuple[str, str]], name: str) -> list[str]:
+    """Codings in the order they were applied, from all headers of this name."""
+    listed = ",".join(v for n, v in headers if n.lower() == name.lower()).lower()
+    return [x for part in listed.split(",") if (x := part.split(";")[0].strip()) and x != "identity"]
+
+
+def _dechunked(data: bytes) -> tuple[bytes, str | None]:
+    parts, at = [], 0
+    while True:
+        line = re.compile(rb"[ \t]*([0-9a-fA-F]+)[ \t]*(?:;[^\r\n]*)?\r?\n").match(data, at)
+        if not line:
+            # Some writers keep the header over a body that they have already put together.
+            return (b"".join(parts), "chunks end early") if parts else (data, None)
+        size = int(line[1], 16)
+        if not size:
+            return b"".join(parts), None
+        parts.append(data[line.end() : line.end() + size])
+        at = line.end() + size
+        if len(parts[-1]) < size:
+            return b"".join(parts), "chunks end early"
+        at += 2 if data[at : at + 2] == b"\r\n" else 1 if data[at : at + 1] == b"\n" else 0
+
+
+def _inflated(data: bytes, coding: str) -> tuple[bytes, str | None]:
+    """Content of all members, or as much as can be read. What isn't compressed stays, as some
+    writers keep the header over a body that they have already unpacked."""
+    if coding == "gzip":
+        if data[:2] != b"\x1f\x8b":
+            return data, None
+        ways = [31]
+    else:
+        ways = [15, -15]  # with the frame that HTTP asks for, or bare
+    for bits in ways:
+        parts, left = [], data
+        try:
+            while left:
+                one = zlib.decompressobj(bits)
+                start = 0
+                while not one.eof and start < len(left):
+                    parts.append(one.decompress(left[start : start + 65536]))
+                    start += 65536
+                if not one.eof:
+                    parts.append(one.flush())
+                    return b"".join(parts), f"{coding} ends early"
+                left = one.unused_data + left[start:]
+                if coding != "gzip" or left[:2] != b"\x1f\x8b":
+                    break
+            return b"".join(parts), None
+        except zlib.error:
+            if any(parts) or coding == "gzip":
+                return b"".join(parts), f"{coding} is damaged"
+    return data, None
+
+
+def _content(headers: list[tuple[str, str]], payload: bytes) -> tuple[bytes | None, str | None]:
+    """The payload without its transfer and content codings, and what is wrong with them. None
+    where a coding is unknown."""
+    error = None
+    for coding in reversed(_codings(headers, "Content-Encoding") + _codings(headers, "Transfer-Encoding")):
+        if coding == "chunked":
+            payload, wrong = _dechunked(payload)
+        elif coding in ("gzip", "x-gzip", "deflate"):
+            payload, wrong = _inflated(payload, coding.removeprefix("x-"))
+        else:
+            return None, f"unknown coding {coding}"
+        error = error or wrong
+    return payload, error
+
+
 def _charset(content_type: str | None, payload: bytes) -> str:
     named = re.search(r"charset=[\"']?([\w.:-]+)", content_type or "", re.I)
     if not named:
@@ -118,8 +188,10 @@ def derivatives(source: bytes) -> list[tuple[str, dict[str, str], bytes]]:
 
     The metadata record holds all headers of the source and of its response, digests as stated and
     as computed, title and links; the conversion record holds the plain text and is there only for
-    pages, that is for HTML or text. Both refer to the source by its identifier. A source that is
-    no well-formed response gives a metadata record that says so.
+    pages, that is for HTML or text, without chunks and gzip or deflate coding; digests are of the bytes as
+    stored. Both refer to the source by its identifier. A source that is no well-formed response
+    gives a metadata record that says so, and so does a page in another coding, which gives no
+    conversion record. A page whose coding ends early or is damaged is converted as far as it goes, with an error.
     """
     error, headers, status, answered, block, payload = None, [], None, [], b"", b""
     try:
@@ -146,7 +218,10 @@ def derivatives(source: bytes) -> list[tuple[str, dict[str, str], bytes]]:
     is_page = error is None and re.match(r"text/|application/xhtml", content_type or "text/html", re.I)
     text, title, links = "", None, []
     if is_page:
-        decoded = payload.decode(_charset(content_type, payload), "replace")
+        content, error = _content(answered, payload)
+        is_page = content is not None
+    if is_page:
+        decoded = content.decode(_charset(content_type, content), "replace")
         if re.match(r"text/plain", content_type or "", re.I):
             text = decoded
         else:

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import json
 import random
 import re
+import zlib
 from collections import Counter
 from html.parser import HTMLParser
 
@@ -203,6 +205,43 @@ def test_malformed_and_foreign_sources(spark):
     assert all(json.loads(_parse(r.record)[1])["error"] for r in got)
 
 
+def test_codings_are_undone(spark):
+    page = ("<title>T</title><p>café</p><a href='/l'>x</a>" + "<p>more</p>" * 200).encode()
+    chunks = b"".join(b"%x;e=1\r\n%s\r\n" % (len(p), p) for p in (page[:7], page[7:900], page[900:])) + b"0\r\nX: y\r\n\r\n"
+    bare = zlib.compressobj(wbits=-15)
+    bare = bare.compress(page) + bare.flush()
+    zipped = gzip.compress(page[:100]) + gzip.compress(page[100:])
+    cases = {
+        "Transfer-Encoding: chunked": chunks,
+        "Content-Encoding: gzip": zipped,
+        "Content-Encoding: x-gzip": zipped + b"\0\0",
+        "Content-Encoding: deflate": zlib.compress(page),
+        "content-encoding: Deflate": bare,
+        "Content-Encoding: gzip\r\nTransfer-Encoding: chunked": b"%x\r\n%s\r\n0\r\n\r\n" % (len(zipped), zipped),
+        "Content-Encoding: identity": page,
+        "Transfer-Encoding: chunked\r\nContent-Encoding: gzip": page,  # already undone by the writer
+    }
+    cases = {k: (v, None) for k, v in cases.items()}
+    cases["Content-Encoding: br"] = page, "unknown coding br"
+    cases[" Content-Encoding: gzip".strip() + "\r\nX: cut"] = gzip.compress(page)[:-9], "gzip ends early"
+    cases["Transfer-Encoding: chunked\r\nX: cut"] = chunks[:-30], "chunks end early"
+    assert warc._inflated(b"\x1f\x8b" + b"\xff" * 30, "gzip") == (b"", "gzip is damaged")
+    expected = warc.html_text(page.decode())
+    for header, (payload, error) in cases.items():
+        answer = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n{header}\r\n\r\n".encode() + payload
+        kinds = warc.derivatives(warc.record({"WARC-Type": "response", "WARC-Payload-Digest": _sha1(payload)}, answer))
+        described = json.loads(kinds[0][2])
+        assert described["error"] == error, header
+        assert described["digests"]["payload"]["agrees"] is True
+        if header.endswith("br"):
+            assert [k for k, _, _ in kinds] == ["metadata"] and described["page"] is None
+        elif error:
+            assert expected[0].startswith(kinds[1][2].decode()[:500]) and len(kinds[1][2]) > 500
+        else:
+            assert kinds[1][2].decode() == expected[0], header
+            assert described["page"] == {"title": "T", "links": ["/l"]}
+
+
 def test_odd_pages(spark, tmp_path):
     html = "<title>T &amp; t</title><p>a<br>b <script>x<y</script><!-- c --><a href='/u?a=1&amp;b=2'>l</a><td>1<td>2 < 3"
     rows = [(1, None, None), (1, "http://h/a b", html), (1, "http://h/a b", html), (None, "u", ""), (2, "u", "<p>" * 50_000 + "<")]
