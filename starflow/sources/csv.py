@@ -45,7 +45,7 @@ def read_csv(
 # carriage return, which the two ways of reading treat differently. Possessive, so
 # that a match never backtracks.
 _FIELD = r'(?:"[^"\r]*+(?:""[^"\r]*+)*+"|[^",\r]*+)'
-_RECORD = rf"^{_FIELD}(?:,{_FIELD})*+\z"
+_RECORD = rf"^{_FIELD}(?:,{_FIELD})*+"
 _BLANK = r"^[\x00-\x20]+\z"
 
 
@@ -53,12 +53,15 @@ def one_record_per_line(spark: SparkSession, path: str | list[str]) -> bool:
     """Whether every line is a record by itself, so that files may be read split.
 
     Exact, not a sample: a pass over the files as text, which splits, and stops at
-    the first line that says otherwise. A line it cannot vouch for, such as one
-    with a stray quote, a Windows line end or only spaces, counts as saying so.
+    the first line that says otherwise. Lines may have Windows ends if all do, also
+    the last; both ways of reading take these off. A line it cannot vouch for, such as one
+    with a stray quote, an end unlike the others' or only spaces, counts as saying so.
     """
     lines = spark.read.option("lineSep", "\n").text(path)
-    unsure = ~F.col("value").rlike(_RECORD) | F.col("value").rlike(_BLANK)
-    return lines.filter(unsure).isEmpty()
+    return any(
+        lines.filter(~F.col("value").rlike(_RECORD + end) | F.col("value").rlike(_BLANK)).isEmpty()
+        for end in (r"\z", r"\r\z")
+    )
 
 
 def write_csv(df: DataFrame, path: str) -> None:

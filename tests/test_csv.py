@@ -129,6 +129,25 @@ def test_one_record_per_line(spark, tmp_path, body, expected):
     assert one_record_per_line(spark, str(tmp_path / "raw.csv")) is expected
 
 
+@pytest.mark.parametrize(
+    "body, expected",
+    [
+        ('1,"say ""hi"", bye","x"\r\n2,,\r\n', True),
+        ("1, a ,007\r\n,,\r\n", True),
+        ('1,"a\r\nb",x\r\n', False),
+        ("1,a\rb,3\r\n", False),
+        ("1,2,3\r\n4,5,6\n", False),
+        ("1,2,3\r\n\r\n", False),
+    ],
+)
+def test_windows_line_ends_are_read_split(spark, tmp_path, body, expected):
+    path = str(tmp_path / "raw.csv")
+    (tmp_path / "raw.csv").write_bytes(("a,b,c\r\n" + body).encode())
+    assert one_record_per_line(spark, path) is expected
+    if expected:
+        assert values(read_csv(spark, path, multiline=False)) == values(read_csv(spark, path))
+
+
 @settings(max_examples=80, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(body=st.text(alphabet='a," \n\r\t', max_size=30))
 def test_lines_vouched_for_read_the_same_split_and_whole(spark, tmp_path, body):
