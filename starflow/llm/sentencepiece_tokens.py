@@ -11,12 +11,15 @@ import hashlib
 import os
 import re
 import struct
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from starflow.llm.rows import blocks, documents
 
@@ -112,7 +115,13 @@ def build(model: Model):
 
     unknown = next((i for i, p in enumerate(model.pieces) if p[2] == UNKNOWN), None)
     if model.kind == UNIGRAM:
-        core = models.Unigram([p[:2] for p in model.pieces], unknown, model.byte_fallback)
+        # No text holds a space once spaces are escaped, so these pieces keep their ids and match nothing.
+        hidden = {CONTROL: "{} ", UNUSED: "{} ", UNKNOWN: " ⁇ "} if model.escape else {}
+        core = models.Unigram(
+            [(hidden.get(kind, "{}").format(p) if kind in hidden else p, score) for p, score, kind in model.pieces],
+            unknown,
+            model.byte_fallback,
+        )
     else:
         core = models.BPE(
             {p: i for i, (p, _, _) in enumerate(model.pieces)},
@@ -165,9 +174,22 @@ class Codec:
         parsed = parse(model)
         self.control = np.array([kind == CONTROL for _, _, kind in parsed.pieces])
         self.tokenizer = build(parsed)
+        self.original = None
+        if parsed.kind == UNIGRAM and (parsed.byte_fallback or not parsed.escape):
+            # Byte pieces have to keep their names, so the lattice takes them where a text spells them
+            # out. Such texts are left to the original library.
+            import sentencepiece
+
+            self.original = sentencepiece.SentencePieceProcessor(model_proto=model)
+            self.spelled = re.compile("|".join(re.escape(p) for p, _, kind in parsed.pieces if kind not in (NORMAL, USER_DEFINED)))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if self.original is not None:
+            for i, text in enumerate(texts):
+                if self.spelled.search(unicodedata.normalize("NFKC", text)):
+                    ids[i] = self.original.encode(text)
+        return ids
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
@@ -207,13 +229,13 @@ def _encoded(model: bytes, threads: int, verify: int):
     return encode
 
 
-def encode(docs: DataFrame, model: bytes, threads: int = 2, verify: int = 16) -> DataFrame:
+def encode(docs: DataFrame, model: bytes, threads: int = 2, verify: int = 1) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256, round_trip) of every row of `docs` (doc_id, text).
 
     `model` is a SentencePiece model file's content, which goes to the tasks as it is. Whole texts are encoded
     in batches of about 1 MB of text on `threads` threads, and decoded again; `round_trip` says
     whether that gives the text back, which a model that normalises need not do. One text in
-    `verify`, chosen by its content (0: none), is also encoded by the sentencepiece library, and
+    `verify`, chosen by its content (1: every text, 0: none), is also encoded by the sentencepiece library, and
     any difference is an error. NULL and empty texts have no tokens. Rows without doc_id and repeated rows
     are encoded like others.
     """
@@ -221,3 +243,31 @@ def encode(docs: DataFrame, model: bytes, threads: int = 2, verify: int = 16) ->
         _encoded(model, threads, verify),
         "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string, round_trip boolean",
     )
+
+
+def _decoded(model: bytes, threads: int):
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec(model, threads)
+        for batch in batches:
+            rows, held = 0, 0
+            sizes = pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_pylist()
+            for row, size in enumerate([*sizes, None]):
+                if size is None or held and held + size > 1 << 18:
+                    part = batch.slice(rows, row - rows)
+                    ids = part.column("ids").to_pylist()
+                    texts = iter(codec.decode([x for x in ids if x is not None]))
+                    made = [None if x is None else next(texts) for x in ids]
+                    yield pa.record_batch(
+                        {"doc_id": part.column("doc_id"), "text": pa.array(made, pa.string())}
+                    )
+                    rows, held = row, 0
+                held += size or 0
+
+    return decode
+
+
+def decode(encoded: DataFrame, model: bytes, threads: int = 2) -> DataFrame:
+    """(doc_id, text) of every row of `encoded` (doc_id, ids), as `encode` gives them. NULL ids give a NULL text."""
+    return encoded.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")
+    ).mapInArrow(_decoded(model, threads), "doc_id long, text string")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import inspect
 import random
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from starflow.llm import language_id, toxicity
 from starflow.llm.queries import SENTENCEPIECE_MODEL
-from starflow.llm.sentencepiece_tokens import Codec, Model, build, encode, parse
+from starflow.llm.sentencepiece_tokens import Codec, Model, build, decode, encode, parse
 
 MODEL = Path(SENTENCEPIECE_MODEL).read_bytes() if Path(SENTENCEPIECE_MODEL).exists() else None
 
@@ -201,6 +203,34 @@ def test_a_unigram_model_takes_the_best_lattice_path():
     assert [tokenizer.encode(t, add_special_tokens=False).tokens for t in ("abc", "  ab  ")] == [["▁ab", "c"], ["▁ab"]]
 
 
+@pytest.mark.parametrize("byte_fallback", [False, True])
+def test_a_unigram_model_takes_no_piece_that_is_not_normal(byte_fallback):
+    import io
+
+    import sentencepiece
+
+    draw, written = random.Random(3), io.BytesIO()
+    lines = ["".join(draw.choices("abcde <>/sunk0x41", k=40)) for _ in range(300)]
+    sentencepiece.SentencePieceTrainer.train(
+        sentence_iterator=iter(lines), model_writer=written, model_type="unigram", minloglevel=2,
+        vocab_size=340 if byte_fallback else 60, byte_fallback=byte_fallback, hard_vocab_limit=False,
+    )
+    model = written.getvalue()
+    original = sentencepiece.SentencePieceProcessor(model_proto=model)
+    texts = ["<s>", "a</s>b", "<unk> x", "<0x41>", "b <0x41><s>", "abc de"]
+    assert Codec(model).encode(texts) == [original.encode(t) for t in texts]
+
+
+@needs_model
+def test_every_text_is_verified_and_ids_decode_to_texts(spark, odd_docs, no_docs):
+    assert inspect.signature(encode).parameters["verify"].default == 1
+    encoded = encode(odd_docs, MODEL)
+    ids = encoded.select("doc_id", "ids").union(spark.createDataFrame([(77, None)], "doc_id long, ids array<int>"))
+    got = Counter((r.doc_id, r.text) for r in decode(ids, MODEL).collect())
+    assert got == Counter([(r.doc_id, r.text or "") for r in odd_docs.select("doc_id", "text").collect()] + [(77, None)])
+    assert decode(encode(no_docs, MODEL), MODEL).collect() == []
+
+
 @needs_model
 def test_round_trip_of_whole_texts(spark, odd_docs, no_docs):
     got = encode(odd_docs, MODEL, verify=1).collect()
