@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starflow.llm import language_id, sentencepiece_tokens, toxicity, warc
+from starflow.llm import bpe_trie, conversation_repair, language_id, sentencepiece_tokens, toxicity, warc
 from starflow.llm.decontamination import find_leaks
 from starflow.llm.line_dedup import bitmap_counts, kept_text, with_bitmaps
 from starflow.llm.minhash import near_duplicates
@@ -22,6 +22,8 @@ from starflow.sources import read_parquet
 
 # A SentencePiece model file on the driver; its content goes to the tasks.
 SENTENCEPIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+# A tokenizers file with a BPE model, likewise.
+BPE_TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,6 +114,77 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80).drop("row")
 
 
+def op11_bpe_trie(spark: SparkSession, sf_dir: str, tokenizer: str = BPE_TOKENIZER) -> DataFrame:
+    content = Path(tokenizer).read_bytes()
+    encoded = bpe_trie.encode(_table(spark, sf_dir, "documents"), content)
+    ids_text = F.array_join(F.col("ids").cast("array<string>"), " ")
+    decoded = bpe_trie.decode(encoded.withColumn("ids_sha256", F.sha2(ids_text, 256)), content)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def damaged_conversations(conversations: DataFrame) -> DataFrame:
+    """Rows of `conversations` dropped, emptied, stripped of full stops, repeated or given to the user, by their key."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")]
+    conv, turn, role, text = parts
+    damage = F.crc32(F.concat(conv, F.lit(":"), turn)) % 20
+    return conversations.select(
+        "conv_id",
+        "turn",
+        F.when(damage == 4, "user").otherwise(role).alias("role"),
+        F.when(damage == 1, "").when(damage == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(F.when(damage == 0, F.array()).when(damage == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    ).drop("copy")
+
+
+def _repair_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edits and digest of each conversation, whose rows come one after the other."""
+    conv, audit, digest, lines, begun, kind = None, [], hashlib.sha256(), 0, False, None
+
+    def done() -> pa.RecordBatch:
+        return pa.record_batch(
+            [pa.array([conv], kind), pa.array(["".join(audit)]), pa.array([digest.hexdigest()])],
+            ["of_conv", "audit", "repaired_sha256"],
+        )
+
+    for batch in batches:
+        kind = batch.column("conv_id").type
+        for own, edit, role, text in zip(*[batch.column(n).to_pylist() for n in ("conv_id", "edit", "role", "text")]):
+            if not begun or own != conv:
+                if begun:
+                    yield done()
+                conv, audit, digest, lines, begun = own, [], hashlib.sha256(), 0, True
+            audit.append(edit)
+            if len(audit) > 4096:
+                audit = ["".join(audit)]
+            if edit != "D":
+                digest.update(f"{chr(10) if lines else ''}{role}:{text}".encode())
+                lines += 1
+    if begun:
+        yield done()
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    original = _table(spark, sf_dir, "conversations")
+    damaged = damaged_conversations(original)
+    counts, edits = conversation_repair.diagnose(damaged)
+    kind = dict(original.dtypes)["conv_id"]
+    digests = conversation_repair.repaired(damaged, edits).mapInArrow(
+        _repair_digests, f"of_conv {kind}, audit string, repaired_sha256 string"
+    )
+    counts = counts.withColumnRenamed("conv_id", "conv")
+    every = original.select("conv_id").distinct()
+    found = every.join(counts, F.col("conv_id").eqNullSafe(F.col("conv")), "left").join(
+        digests, F.col("conv_id").eqNullSafe(F.col("of_conv")), "left"
+    )
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.select(
+        "conv_id",
+        *[F.coalesce(F.col(n), F.lit(0)).cast("long").alias(n) for n in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_benchmark_decontamination": op1_benchmark_decontamination,
@@ -124,6 +197,8 @@ def queries() -> dict[str, Query]:
         "op8_sentencepiece": op8_sentencepiece,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
+        "op11_bpe_trie": op11_bpe_trie,
+        "op13_conversation_repair": op13_conversation_repair,
     }
 
 
