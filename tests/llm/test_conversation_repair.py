@@ -190,7 +190,7 @@ def test_rules_are_shared_and_multiply_to_the_same(spark):
     rules = cr.learn_rules(spark.createDataFrame([(t,) for t in texts], "symbols string"))
     assert rules and len(set(rules)) == len(rules)
     plain, packed = cr.Grammar([]), cr.Grammar(rules)
-    assert sum(map(len, packed.compress(texts))) < sum(map(len, texts)) / 1.5
+    assert sum(map(len, packed.compress(texts))) < 0.8 * sum(map(len, texts))
 
     def ways(grammar):
         found = {}
