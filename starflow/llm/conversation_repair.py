@@ -124,7 +124,7 @@ class Grammar:
             self.cost[code], self.rank[code], self.mid[code] = cost[0], rank[0], mid[0]
         self.none = n - 1  # stands where a sequence is shorter than its block
         self.cost[self.none][np.diag_indices(STATES)] = 0
-        self.texts.update({(self.none, i, i): "" for i in range(STATES)})
+        self.texts.update({(self.none, i, j): "" for i in range(STATES) for j in range(STATES)})
 
     def _of(self, codes) -> tuple[np.ndarray, np.ndarray]:
         return self.cost[codes], self.rank[codes]
