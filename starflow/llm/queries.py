@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from starflow.llm import bpe_trie, conversation_repair, language_id, sentencepiece_tokens, toxicity, warc
 from starflow.llm.decontamination import find_leaks
+from starflow.llm.hard_negatives import hard_negatives
 from starflow.llm.line_dedup import bitmap_counts, kept_text, with_bitmaps
 from starflow.llm.minhash import near_duplicates
 from starflow.llm.surrogates import pseudonymize
@@ -122,6 +123,12 @@ def op11_bpe_trie(spark: SparkSession, sf_dir: str, tokenizer: str = BPE_TOKENIZ
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    other = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", other), F.col("vec_id") % 100 == 0)
+
+
 def damaged_conversations(conversations: DataFrame) -> DataFrame:
     """Rows of `conversations` dropped, emptied, stripped of full stops, repeated or given to the user, by their key."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")]
@@ -198,6 +205,7 @@ def queries() -> dict[str, Query]:
         "op9_substring_dedup": op9_substring_dedup,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
         "op11_bpe_trie": op11_bpe_trie,
+        "op12_hard_negatives": op12_hard_negatives,
         "op13_conversation_repair": op13_conversation_repair,
     }
 
@@ -275,6 +283,36 @@ FROM documents d LEFT JOIN sizes s ON d.doc_id = s.doc_id JOIN reached r ON d.do
 GROUP BY d.doc_id, s.n
 """
 
+OP12_SQL = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) AS nth
+        FROM scores WHERE same) WHERE nth <= 5),
+ranked AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.other_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id
+                            ORDER BY s.score DESC, s.other_id) AS nth
+  FROM positives p JOIN scores s ON p.anchor_id = s.anchor_id AND NOT s.same
+   AND 100 * s.score BETWEEN 30 * p.positive_score AND 90 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(nth AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE nth <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": OP5_SQL, "op9_substring_dedup": OP9_SQL, "op10_minhash_near_dedup": OP10_SQL}
+    return {
+        "op5_line_dedup": OP5_SQL,
+        "op9_substring_dedup": OP9_SQL,
+        "op10_minhash_near_dedup": OP10_SQL,
+        "op12_hard_negatives": OP12_SQL,
+    }
