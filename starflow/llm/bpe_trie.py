@@ -12,8 +12,6 @@ import gc
 import hashlib
 import json
 import re
-import sys
-import types
 from array import array
 from collections.abc import Iterator
 
@@ -23,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starflow.llm.rows import blocks, documents
+from starflow.llm.rows import blocks, documents, held_by_process
 
 # A word's last character and the end of the word are one symbol, the character this much further on.
 _END = 0x1000
@@ -31,6 +29,10 @@ _END = 0x1000
 # this many each, none longer.
 KEPT_WORDS, KEPT_LENGTH = 200_000, 64
 _KEPT_PAIRS = 1_000_000
+# Bytes of text whose words go into one trie; more words at a time share more.
+_BLOCK = 1 << 22
+# White space of some kind other than those that texts are split at.
+_ODD_BLANK = re.compile(r"[^\S ]|[\x1c-\x1f\x85]")
 
 
 class Merges:
@@ -166,48 +168,49 @@ class Trie:
         `ends` what ends there.
         """
         found: list[bytes] = [b""] * self.n
-        known, settle = merges.apart.get, merges.stay_apart
-        last, begin, ends = [0], [0], [merges.after("")]
-
-        def extend(symbol: str) -> None:
-            at = ends[-1]
-            here = at.next.get(symbol)
-            if here is None:
-                here = at.next[symbol] = merges.after(at.text + symbol)
-            depth = len(last)
-            for size, token in here.tokens:
-                if size == depth:
-                    break
-                pair = last[depth - size] << 32 | token
-                apart = known(pair)
-                if settle(pair) if apart is None else apart:
-                    break
-            else:
-                raise ValueError(f"no token ends in {symbol!r}")
-            last.append(token)
-            begin.append(depth - size)
-            ends.append(here)
-
-        def cut(depth: int) -> None:
-            del last[depth + 1 :], begin[depth + 1 :], ends[depth + 1 :]
-
+        known, settle, after = merges.apart.get, merges.stay_apart, merges.after
+        last, begin, ends = [0], [0], [after("")]
         todo = [(self.root, 0, "")]
         while todo:
-            node, depth, symbol = todo.pop()
-            if symbol:
-                cut(depth - 1)
-                extend(symbol)
-            for number, rest in node.get("", ()):
-                cut(depth)
-                for more in rest:
-                    extend(more)
-                at, own = len(last) - 1, array("i")
-                while at:
-                    own.append(last[at])
-                    at = begin[at]
-                own.reverse()
-                found[number] = own.tobytes()
-            todo += [(below, depth + 1, next_symbol) for next_symbol, below in node.items() if next_symbol]
+            node, depth, symbols = todo.pop()
+            here = node.get("")
+            # What lies beyond DEEP is a path of its own for each word.
+            paths = [(number, symbols + rest) for number, rest in here] if here else [(-1, symbols)]
+            for number, path in paths:
+                at = depth - len(symbols)
+                del last[at + 1 :], begin[at + 1 :], ends[at + 1 :]
+                state = ends[at]
+                for symbol in path:
+                    at += 1
+                    nearby = state.next.get(symbol)
+                    if nearby is None:
+                        nearby = state.next[symbol] = after(state.text + symbol)
+                    state = nearby
+                    for size, token in state.tokens:
+                        if size == at:
+                            break
+                        pair = last[at - size] << 32 | token
+                        apart = known(pair)
+                        if apart or apart is None and settle(pair):
+                            break
+                    else:
+                        raise ValueError(f"no token ends in {symbol!r}")
+                    last.append(token)
+                    begin.append(at - size)
+                    ends.append(state)
+                if number >= 0:
+                    own = []
+                    while at:
+                        own.append(last[at])
+                        at = begin[at]
+                    own.reverse()
+                    found[number] = array("i", own).tobytes()
+            for symbol, below in node.items():
+                if symbol:
+                    while len(below) == 1 and "" not in below:  # no branch: go on at once
+                        ((more, below),) = below.items()
+                        symbol += more
+                    todo.append((below, depth + len(symbol), symbol))
         return found
 
 
@@ -230,6 +233,27 @@ class _Lately(dict):
             self.clear()
 
 
+class Names:
+    """The tokens by id, all that decoding needs."""
+
+    def __init__(self, spec: dict) -> None:
+        if spec["decoder"]:
+            raise ValueError("only tokenizers that join tokens by blanks are supported")
+        added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        names = {i: token for token, i in {**spec["model"]["vocab"], **added}.items()}
+        self.tokens = pa.array([names.get(i, "") for i in range(max(names) + 1)], pa.large_string())
+
+    def decode(self, ids: pa.Array) -> pa.LargeStringArray:
+        """The texts of lists of token ids: the tokens, joined by blanks. Unknown ids give nothing."""
+        flat = ids.flatten().to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+        known = (flat >= 0) & (flat < len(self.tokens))
+        known[known] = (pc.binary_length(self.tokens).to_numpy(zero_copy_only=False) > 0)[flat[known]]
+        ends = np.concatenate(([0], np.cumsum(known)))[np.concatenate(([0], np.cumsum(sizes)))]
+        tokens = pa.LargeListArray.from_arrays(pa.array(ends), self.tokens.take(pa.array(flat[known])))
+        return pc.binary_join(tokens, pa.scalar(" ", pa.large_string()))
+
+
 class Codec:
     """Encodes and decodes as the tokenizers library does with the same file.
 
@@ -243,8 +267,8 @@ class Codec:
         spec = json.loads(content)
         model = spec["model"]
         odd = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges") if model.get(k)]
-        if model["type"] != "BPE" or odd or spec["decoder"] or spec["post_processor"]:
-            raise ValueError(f"only plain BPE models without decoder are supported: {odd}")
+        if model["type"] != "BPE" or odd or spec["post_processor"]:
+            raise ValueError(f"only plain BPE models are supported: {odd}")
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"]):
             raise ValueError("added tokens that reach beyond their own text are not supported")
         library = Tokenizer.from_str(content.decode())
@@ -258,8 +282,7 @@ class Codec:
             if self.added
             else None
         )
-        names = {i: token for token, i in {**model["vocab"], **self.added}.items()}
-        self.names = pa.array([names.get(i, "") for i in range(max(names) + 1)], pa.large_string())
+        self.names = Names(spec)
         self.kept_chunks, self.kept_words = _Lately(KEPT_WORDS), _Lately(KEPT_WORDS)
 
     def _pieces(self, text: str) -> list[tuple[str, tuple[int, int]]]:
@@ -269,8 +292,10 @@ class Codec:
 
     def _split(self, chunks: list[str]) -> list[list[str]]:
         """The words of each chunk; chunks hold no blanks. All at once where blanks keep them apart."""
-        plain = [c for c in chunks if not re.search(r"[\s\x1c-\x1f\x85]", c)]
-        joined = " ".join(plain)
+        plain, joined = chunks, " ".join(chunks)
+        if _ODD_BLANK.search(joined):
+            plain = [c for c in chunks if not _ODD_BLANK.search(c)]
+            joined = " ".join(plain)
         normal = self.normalizer.normalize_str(joined) if self.normalizer is not None else joined
         found: dict[str, list[str]] = {}
         parts = normal.split(" ")
@@ -350,33 +375,22 @@ class Codec:
         return pa.LargeListArray.from_arrays(pa.array(ends[bounds]), pa.array(ids, pa.int32()))
 
     def decode(self, ids: pa.Array) -> pa.LargeStringArray:
-        """The texts of lists of token ids: the tokens, joined by blanks. Unknown ids give nothing."""
-        flat = ids.flatten().to_numpy(zero_copy_only=False)
-        sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
-        known = (flat >= 0) & (flat < len(self.names))
-        known[known] = (pc.binary_length(self.names).to_numpy(zero_copy_only=False) > 0)[flat[known]]
-        ends = np.concatenate(([0], np.cumsum(known)))[np.concatenate(([0], np.cumsum(sizes)))]
-        tokens = pa.LargeListArray.from_arrays(pa.array(ends), self.names.take(pa.array(flat[known])))
-        return pc.binary_join(tokens, pa.scalar(" ", pa.large_string()))
-
-
-def held_by_process(key: str, make):
-    """What `make` gives, made once in a worker process and kept there for later tasks."""
-    name = "starflow_worker_state"
-    held = vars(sys.modules.setdefault(name, types.ModuleType(name))).setdefault("held", {})
-    if key not in held:
-        held[key] = make()
-    return held[key]
+        """The texts of lists of token ids."""
+        return self.names.decode(ids)
 
 
 def _codec(content: bytes) -> Codec:
     return held_by_process(f"bpe {hashlib.sha256(content).hexdigest()}", lambda: Codec(content))
 
 
+def _names(content: bytes) -> Names:
+    return held_by_process(f"names {hashlib.sha256(content).hexdigest()}", lambda: Names(json.loads(content)))
+
+
 def _encoded(content: bytes):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(content)
-        for batch, texts in blocks(batches):
+        for batch, texts in blocks(batches, size=_BLOCK):
             ids = codec.encode(texts)
             sizes = pc.list_value_length(ids).cast(pa.int64())
             yield pa.record_batch(
@@ -391,7 +405,7 @@ def encode(docs: DataFrame, tokenizer: bytes) -> DataFrame:
 
     `tokenizer` is the content of a tokenizers file with a BPE model, which goes to the tasks. Ids are those
     of the library without special tokens added; the texts of special tokens are those tokens,
-    as in the library. Whole texts are encoded, in blocks of about 1 MB or one longer text, and nothing
+    as in the library. Whole texts are encoded, in blocks of about 4 MB or one longer text, and nothing
     is shuffled; a word of any length is one path of the trie. NULL and empty texts have no tokens. Rows
     without doc_id, repeated rows and other columns change nothing; an empty table gives no rows.
     """
@@ -400,14 +414,14 @@ def encode(docs: DataFrame, tokenizer: bytes) -> DataFrame:
 
 def _decoded(content: bytes, names: list[str]):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(content)
+        named = _names(content)
         for batch in batches:
             sizes = pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_pylist()
             begin, held = 0, 0
             for row, size in enumerate([*sizes, None]):
                 if size is None or held and held + size > 1 << 18:
                     part = batch.slice(begin, row - begin)
-                    texts = codec.decode(part.column("ids")).cast(pa.string())
+                    texts = named.decode(part.column("ids")).cast(pa.string())
                     texts = pc.if_else(pc.is_null(part.column("ids")), pa.scalar(None, pa.string()), texts)
                     yield pa.record_batch([*[part.column(n) for n in names], texts], [*names, "text"])
                     begin, held = row, 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -67,3 +69,12 @@ def blocks(
             held += int(length)
         if start < len(lengths):
             yield batch.slice(start), texts.slice(start)
+
+
+def held_by_process(key: str, make):
+    """What `make` gives, made once in a worker process and kept there for later tasks."""
+    name = "starflow_worker_state"
+    held = vars(sys.modules.setdefault(name, types.ModuleType(name))).setdefault("held", {})
+    if key not in held:
+        held[key] = make()
+    return held[key]
