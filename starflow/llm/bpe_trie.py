@@ -27,10 +27,10 @@ from starflow.llm.rows import blocks, documents, held_by_process
 _END = 0x1000
 # Words, and texts between blanks, kept from block to block in a worker process: two halves of
 # this many each, none longer.
-KEPT_WORDS, KEPT_LENGTH = 200_000, 64
+KEPT_WORDS, KEPT_LENGTH = 120_000, 64
 _KEPT_PAIRS = 1_000_000
-# Bytes of text whose words go into one trie; more words at a time share more.
-_BLOCK = 1 << 22
+# Bytes of text encoded at a time, and words a trie holds: neighbours in order, which begin alike.
+_BLOCK, _TRIE_WORDS = 1 << 21, 1 << 14
 # White space of some kind other than those that texts are split at.
 _ODD_BLANK = re.compile(r"[^\S ]|[\x1c-\x1f\x85]")
 
@@ -309,14 +309,17 @@ class Codec:
         return [found[c] if c in found else [p for p, _ in self._pieces(c)] for c in chunks]
 
     def _encode_words(self, words: list[str]) -> dict[str, bytes]:
-        """Token ids of distinct words. Those seen lately are looked up; the others go into one trie."""
+        """Token ids of distinct words. Those seen lately are looked up; the others go into tries."""
         kept = self.kept_words
         found = {word: kept[word] for word in words}
-        missing = [word for word, ids in found.items() if ids is None]
-        trie = Trie()
-        for word in missing:
-            trie.insert(self.merges.word(word))
-        new = dict(zip(missing, trie.encode(self.merges)))
+        missing = sorted(word for word, ids in found.items() if ids is None)
+        new: dict[str, bytes] = {}
+        for at in range(0, len(missing), _TRIE_WORDS):
+            part = missing[at : at + _TRIE_WORDS]
+            trie = Trie()
+            for word in part:
+                trie.insert(self.merges.word(word))
+            new.update(zip(part, trie.encode(self.merges)))
         kept.update((word, ids) for word, ids in new.items() if len(word) <= KEPT_LENGTH)
         kept.tidy()
         found.update(new)
@@ -387,29 +390,31 @@ def _names(content: bytes) -> Names:
     return held_by_process(f"names {hashlib.sha256(content).hexdigest()}", lambda: Names(json.loads(content)))
 
 
-def _encoded(content: bytes):
+def _encoded(content: bytes, decoded: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(content)
         for batch, texts in blocks(batches, size=_BLOCK):
             ids = codec.encode(texts)
             sizes = pc.list_value_length(ids).cast(pa.int64())
-            yield pa.record_batch(
-                {"doc_id": batch.column("doc_id"), "n_tokens": sizes, "ids": ids.cast(pa.list_(pa.int32()))}
-            )
+            columns = {"doc_id": batch.column("doc_id"), "n_tokens": sizes, "ids": ids.cast(pa.list_(pa.int32()))}
+            if decoded:
+                columns["text"] = codec.decode(ids).cast(pa.string())
+            yield pa.record_batch(columns)
 
     return encode
 
 
-def encode(docs: DataFrame, tokenizer: bytes) -> DataFrame:
-    """(doc_id, n_tokens, ids) of every row of `docs` (doc_id, text).
+def encode(docs: DataFrame, tokenizer: bytes, decoded: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids) of every row of `docs` (doc_id, text); if `decoded`, with `text`, what the ids decode to.
 
     `tokenizer` is the content of a tokenizers file with a BPE model, which goes to the tasks. Ids are those
     of the library without special tokens added; the texts of special tokens are those tokens,
-    as in the library. Whole texts are encoded, in blocks of about 4 MB or one longer text, and nothing
+    as in the library. Whole texts are encoded, in blocks of about 2 MB or one longer text, and nothing
     is shuffled; a word of any length is one path of the trie. NULL and empty texts have no tokens. Rows
     without doc_id, repeated rows and other columns change nothing; an empty table gives no rows.
     """
-    return documents(docs).mapInArrow(_encoded(tokenizer), "doc_id long, n_tokens long, ids array<int>")
+    kinds = "doc_id long, n_tokens long, ids array<int>" + ", text string" * decoded
+    return documents(docs).mapInArrow(_encoded(tokenizer, decoded), kinds)
 
 
 def _decoded(content: bytes, names: list[str]):

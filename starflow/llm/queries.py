@@ -116,11 +116,11 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_bpe_trie(spark: SparkSession, sf_dir: str, tokenizer: str = BPE_TOKENIZER) -> DataFrame:
-    content = Path(tokenizer).read_bytes()
-    encoded = bpe_trie.encode(_table(spark, sf_dir, "documents"), content)
+    encoded = bpe_trie.encode(_table(spark, sf_dir, "documents"), Path(tokenizer).read_bytes(), decoded=True)
     ids_text = F.array_join(F.col("ids").cast("array<string>"), " ")
-    decoded = bpe_trie.decode(encoded.withColumn("ids_sha256", F.sha2(ids_text, 256)), content)
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+    return encoded.select(
+        "doc_id", "n_tokens", F.sha2(ids_text, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256")
+    )
 
 
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
