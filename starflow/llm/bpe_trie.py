@@ -27,10 +27,10 @@ from starflow.llm.rows import blocks, documents, held_by_process
 _END = 0x1000
 # Words, and texts between blanks, kept from block to block in a worker process: two halves of
 # this many each, none longer.
-KEPT_WORDS, KEPT_LENGTH = 120_000, 64
+KEPT_WORDS, KEPT_LENGTH = 300_000, 64
 _KEPT_PAIRS = 1_000_000
 # Bytes of text encoded at a time, and words a trie holds: neighbours in order, which begin alike.
-_BLOCK, _TRIE_WORDS = 1 << 21, 1 << 14
+_BLOCK, _TRIE_WORDS = 1 << 22, 1 << 14
 # White space of some kind other than those that texts are split at.
 _ODD_BLANK = re.compile(r"[^\S ]|[\x1c-\x1f\x85]")
 
@@ -409,7 +409,7 @@ def encode(docs: DataFrame, tokenizer: bytes, decoded: bool = False) -> DataFram
 
     `tokenizer` is the content of a tokenizers file with a BPE model, which goes to the tasks. Ids are those
     of the library without special tokens added; the texts of special tokens are those tokens,
-    as in the library. Whole texts are encoded, in blocks of about 2 MB or one longer text, and nothing
+    as in the library. Whole texts are encoded, in blocks of about 4 MB or one longer text, and nothing
     is shuffled; a word of any length is one path of the trie. NULL and empty texts have no tokens. Rows
     without doc_id, repeated rows and other columns change nothing; an empty table gives no rows.
     """
