@@ -35,15 +35,20 @@ from starflow.plans import (  # noqa: E402
     gold_table,
     gold_tables,
     ingest_bronze,
+    run_day,
     run_refresh,
     silver_tables,
+    users_over_days,
 )
 from starflow.plans.silver import dim_page, fact_events  # noqa: E402
 from starflow.sample_clicks import bronze_view, raw_export, table  # noqa: E402
 from starflow.sources import (  # noqa: E402
+    create_snapshots,
     create_tables,
     for_each_table,
+    load_parts,
     load_table,
+    published_tables,
     read_csv,
     read_parquet,
     scratch_path,
@@ -118,6 +123,18 @@ def bronze_ingest_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cast_declared(bronze, EVENT_TYPES)
 
 
+# A field of several lines, with quotes and a separator.
+NOTE_SQL = """concat('line 1 of ', CAST(event_id AS STRING), chr(10), 'say "', event_type, '", bye', chr(10))"""
+
+
+def bronze_ingest_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export whose every record spans lines, read by records: files are split all the same."""
+    path = scratch_path(spark, "notes-csv")
+    write_csv(table(spark, sf_dir, "events").withColumn("note", F.expr(NOTE_SQL)), path)
+    bronze = ingest_bronze(spark, path, scratch_path(spark, "bronze"), "records")
+    return cast_declared(bronze, EVENT_TYPES)
+
+
 def silver_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "silver-csv")
     write_csv(dim_page(bronze_view(spark, sf_dir)), path)
@@ -220,6 +237,48 @@ def refresh_fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_zoneless(warehouse_tables(spark, config.database)["fact_events"])
 
 
+def snapshot_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per table after all six were published together, twice."""
+    root = scratch_path(spark, "snapshots")
+    database = "starflow_" + root.rsplit("-", 1)[1]
+    create_snapshots(spark, database, root)
+    gold = gold_tables(silver_tables(_staged(bronze_view(spark, sf_dir), "bronze")))
+    for _ in range(2):
+        load_parts(spark, database, gold)
+    return table_counts(published_tables(spark, database))
+
+
+# The days of a month, dealt to three execution dates.
+_THIRDS = {"2025-09-01": "BETWEEN 1 AND 10", "2025-09-02": "BETWEEN 11 AND 20", "2025-09-03": "> 20"}
+
+
+def _daily(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The published tables after the export came by date: out of order, and one date twice."""
+    root = scratch_path(spark, "daily")
+    config = RefreshConfig("", f"{root}/lake", "starflow_" + root.rsplit("-", 1)[1], f"{root}/warehouse")
+    export = _staged(raw_export(spark, sf_dir), "export")
+    for date, days in _THIRDS.items():
+        write_csv(export.filter(f"day(timestamp) {days}"), f"{root}/raw/{date}")
+    for date in ("2025-09-02", "2025-09-03", "2025-09-01", "2025-09-02"):
+        run_day(spark, config, date, f"{root}/raw/{date}")
+    return published_tables(spark, config.database)
+
+
+def daily_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table_counts(_daily(spark, sf_dir))
+
+
+def daily_dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _daily(spark, sf_dir)["dim_user"]
+
+
+def silver_dim_user_by_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user dimension from a state kept from day to day, the days out of order."""
+    events = _staged(bronze_view(spark, sf_dir), "bronze")
+    days = [events.filter(f"day(event_timestamp) {d}") for d in reversed(_THIRDS.values())]
+    return users_over_days(days, lambda state: _staged(state, "users"))
+
+
 # ---------------------------------------------------------------------------
 # Single operators and functions.
 
@@ -309,6 +368,7 @@ def queries() -> dict[str, Query]:
         "csv_scan_typed": csv_scan_typed,
         "bronze_ingest": bronze_ingest,
         "bronze_ingest_whole": bronze_ingest_whole,
+        "bronze_ingest_multiline": bronze_ingest_multiline,
         "bronze_count": bronze_count,
         "drop_columns": drop_columns_query,
         "rename_columns": rename_columns_query,
@@ -333,6 +393,10 @@ def queries() -> dict[str, Query]:
         "warehouse_truncate": warehouse_truncate,
         "refresh_counts": refresh_counts,
         "refresh_fact_events": refresh_fact_events,
+        "snapshot_publish": snapshot_publish,
+        "daily_row_counts": daily_row_counts,
+        "daily_dim_user": daily_dim_user,
+        "silver_dim_user_by_days": silver_dim_user_by_days,
         **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
 
@@ -444,6 +508,8 @@ def oracle_sql() -> dict[str, str]:
         "csv_scan_typed": events,
         "bronze_ingest": events,
         "bronze_ingest_whole": events,
+        "bronze_ingest_multiline": f"""
+            SELECT event_id, ts, user_id, event_type, value, props, {NOTE_SQL} AS note FROM events""",
         "bronze_count": BRONZE_SQL + "SELECT count(*) AS n FROM bronze",
         "drop_columns": "SELECT event_id, ts, user_id, event_type, value FROM events",
         "rename_columns": """
@@ -480,5 +546,9 @@ def oracle_sql() -> dict[str, str]:
              FROM bronze""",
         "refresh_counts": row_counts,
         "refresh_fact_events": gold["fact_events"],
+        "snapshot_publish": row_counts,
+        "daily_row_counts": row_counts,
+        "daily_dim_user": gold["dim_user"],
+        "silver_dim_user_by_days": silver["dim_user"],
         **(llm.oracle_sql() if llm else {}),
     }

@@ -30,7 +30,7 @@ def parse(arguments: list[str]) -> argparse.Namespace:
         "--reading",
         choices=READINGS,
         default="check",
-        help="split files at line ends, read each whole, or look first whether they can be split",
+        help="split files at line ends or where records end, read each whole, or look first how they can be split",
     )
     parser.add_argument(
         "--any-headers", action="store_true", help="read columns by place, whatever headers say"

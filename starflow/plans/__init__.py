@@ -1,6 +1,7 @@
 """The stages: raw export to bronze, bronze to silver, silver to gold, gold to warehouse."""
 
 from starflow.plans.bronze import ingest_bronze
+from starflow.plans.daily import advance_users, publish_day, run_day, users_over_days
 from starflow.plans.gold import build_gold, gold_table, gold_tables
 from starflow.plans.refresh import RefreshConfig, run_refresh
 from starflow.plans.silver import (
@@ -19,6 +20,7 @@ from starflow.plans.silver import (
 __all__ = [
     "RefreshConfig",
     "SILVER_TABLES",
+    "advance_users",
     "build_gold",
     "build_silver",
     "dim_device",
@@ -31,6 +33,9 @@ __all__ = [
     "gold_table",
     "gold_tables",
     "ingest_bronze",
+    "publish_day",
+    "run_day",
     "run_refresh",
     "silver_tables",
+    "users_over_days",
 ]

@@ -23,15 +23,28 @@ from starflow.operators import clean, distinct_rows, first_row_per_key
 from starflow.sources import for_each_table, read_parquet, write_csv, write_parquet
 
 
-def dim_user(events: DataFrame) -> DataFrame:
-    """One row per distinct_id, NULL included: that of its earliest event."""
-    users = events.select(
+def user_rows(events: DataFrame) -> DataFrame:
+    """What dim_user reads of each event."""
+    return events.select(
         "distinct_id", "person_id", user_id().alias("user_id"), "event_timestamp", "event_uuid"
     )
-    first = first_row_per_key(users, ["distinct_id"], ["event_timestamp", "event_uuid"])
+
+
+def first_users(rows: DataFrame) -> DataFrame:
+    """The earliest of `user_rows` per distinct_id. First rows of parts have the same first rows
+    as the whole, so the result is also a state to go on from."""
+    return first_row_per_key(rows, ["distinct_id"], ["event_timestamp", "event_uuid"])
+
+
+def as_dim_user(first: DataFrame) -> DataFrame:
     return first.select("distinct_id", "person_id", "user_id", user_key().alias("user_key"))
 
 
+def dim_user(events: DataFrame) -> DataFrame:
+    """One row per distinct_id, NULL included: that of its earliest event."""
+    return as_dim_user(first_users(user_rows(events)))
+
+
 def dim_device(events: DataFrame) -> DataFrame:
     devices = distinct_rows(events.select(*DEVICE_COLUMNS))
     return devices.withColumn("device_key", device_key())

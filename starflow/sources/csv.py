@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 _NO_SUCH_FIELD = "\u0000"
 
 
+def csv_options(keep_empty: bool = False) -> dict[str, str | bool]:
+    """How records are parsed, whoever finds where they end. Quotes inside a quoted field are doubled, per RFC 4180."""
+    return {"inferSchema": False, "escape": '"', **({"nullValue": _NO_SUCH_FIELD} if keep_empty else {})}
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -22,22 +27,19 @@ def read_csv(
     such as "007" or "1e5". Quotes inside a quoted field are doubled, per RFC 4180.
 
     multiline      allow line breaks inside quoted fields. Spark then gives each
-                   file to one task, so large inputs should come as many files;
-                   turn it off where fields hold no line breaks, and files split.
+                   file to one task; turn it off where fields hold no line breaks, and
+                   files split. `read_records` splits files with line breaks in fields.
     check_headers  fail if a file's header differs from the first file's. Needs unique,
                    non-blank headers. Off, Spark reads later files by position, whatever
                    their headers say.
     keep_empty     read a quoted empty field as '' rather than NULL.
     """
     reader = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("escape", '"')
+        spark.read.options(**csv_options(keep_empty))
+        .option("header", True)
         .option("multiLine", multiline)
         .option("enforceSchema", not check_headers)
     )
-    if keep_empty:
-        reader = reader.option("nullValue", _NO_SUCH_FIELD)
     return reader.csv(path)
 
 

@@ -7,6 +7,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from starflow.columns import GOLD_TABLES, TABLE_NAMES
 from starflow.sources.lake import for_each_table, read_parquet
@@ -18,24 +19,24 @@ log = logging.getLogger(__name__)
 _LOADS = "/loads/"
 
 
-def _quoted(name: str) -> str:
+def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _literal(text: str) -> str:
+def literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def table_name(database: str, table: str) -> str:
-    return f"{_quoted(database)}.{_quoted(table)}"
+    return f"{quoted(database)}.{quoted(table)}"
 
 
 def create_tables(spark: SparkSession, database: str, location: str | None = None) -> None:
     """Create the database and its tables where they do not exist; keep them where they do."""
-    where = f" LOCATION {_literal(location)}" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}{where}")
+    where = f" LOCATION {literal(location)}" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}{where}")
     for table, columns in GOLD_TABLES.items():
-        ddl = ", ".join(f"{_quoted(name)} {type_name}" for name, type_name in columns.items())
+        ddl = ", ".join(f"{quoted(name)} {type_name}" for name, type_name in columns.items())
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table_name(database, table)} ({ddl}) USING parquet"
         )
@@ -45,11 +46,31 @@ def truncate_table(spark: SparkSession, database: str, table: str) -> None:
     spark.sql(f"TRUNCATE TABLE {table_name(database, table)}")
 
 
-def _location(spark: SparkSession, target: str) -> str:
+def table_location(spark: SparkSession, target: str) -> str:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {target}")
     return described.filter("col_name = 'Location'").first()["data_type"]
 
 
+def by_name(rows: DataFrame, fields: list[StructField], table: str) -> DataFrame:
+    """The rows with a table's columns, matched by name in any order and case, and its types."""
+    given = {name.lower(): name for name in rows.columns}
+    known = {field.name.lower() for field in fields}
+    if not known & set(given):
+        raise ValueError(f"no column matches table {table}: {rows.columns}")
+    absent = [field.name for field in fields if field.name.lower() not in given]
+    extra = [name for name in rows.columns if name.lower() not in known]
+    if absent or extra:
+        log.warning("loading %s: NULL for %s, leaving out %s", table, absent, extra)
+    return rows.select(
+        *[
+            (F.col(quoted(given[f.name.lower()])) if f.name.lower() in given else F.lit(None))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in fields
+        ]
+    )
+
+
 def load_table(spark: SparkSession, database: str, table: str, rows: DataFrame) -> None:
     """Replace a table's rows.
 
@@ -62,26 +83,12 @@ def load_table(spark: SparkSession, database: str, table: str, rows: DataFrame)
     rows lack become NULL, columns the table lacks are left out; either is logged.
     """
     target = table_name(database, table)
-    fields = spark.table(target).schema.fields
-    given = {name.lower(): name for name in rows.columns}
-    known = {field.name.lower() for field in fields}
-    if not known & set(given):
-        raise ValueError(f"no column matches table {table}: {rows.columns}")
-    absent = [field.name for field in fields if field.name.lower() not in given]
-    extra = [name for name in rows.columns if name.lower() not in known]
-    if absent or extra:
-        log.warning("loading %s: NULL for %s, leaving out %s", table, absent, extra)
-    columns = [
-        (F.col(_quoted(given[f.name.lower()])) if f.name.lower() in given else F.lit(None))
-        .cast(f.dataType)
-        .alias(f.name)
-        for f in fields
-    ]
-    now = _location(spark, target)
+    matched = by_name(rows, spark.table(target).schema.fields, table)
+    now = table_location(spark, target)
     root, mark, _ = now.partition(_LOADS)
     fresh = f"{root}{_LOADS}{uuid4().hex}"
-    rows.select(*columns).write.parquet(fresh)
-    spark.sql(f"ALTER TABLE {target} SET LOCATION {_literal(fresh)}")
+    matched.write.parquet(fresh)
+    spark.sql(f"ALTER TABLE {target} SET LOCATION {literal(fresh)}")
     if mark:
         _remove_all_but(spark, f"{root}{_LOADS}".rstrip("/"), {now, fresh})
 
