@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starflow.llm.rows import blocks, documents, held_by_process
+from starflow.llm.rows import Lately, blocks, documents, held_by_process, per_distinct
 
 # A word's last character and the end of the word are one symbol, the character this much further on.
 _END = 0x1000
@@ -214,25 +214,6 @@ class Trie:
         return found
 
 
-class _Lately(dict):
-    """What was looked up lately: when it is full, what was not used since the last time goes."""
-
-    def __init__(self, most: int) -> None:
-        self.most = most
-        self.older: dict = {}
-
-    def __missing__(self, key):
-        value = self.older.get(key)
-        if value is not None:
-            self[key] = value
-        return value
-
-    def tidy(self) -> None:
-        if len(self) > self.most:
-            self.older = dict(self)
-            self.clear()
-
-
 class Names:
     """The tokens by id, all that decoding needs."""
 
@@ -283,7 +264,7 @@ class Codec:
             else None
         )
         self.names = Names(spec)
-        self.kept_chunks, self.kept_words = _Lately(KEPT_WORDS), _Lately(KEPT_WORDS)
+        self.kept_chunks, self.kept_words = Lately(KEPT_WORDS), Lately(KEPT_WORDS)
 
     def _pieces(self, text: str) -> list[tuple[str, tuple[int, int]]]:
         if self.normalizer is not None:
@@ -364,18 +345,8 @@ class Codec:
                 gc.enable()
 
     def _encode(self, texts: pa.LargeStringArray) -> pa.LargeListArray:
-        split = pc.ascii_split_whitespace(texts)
-        held = split.flatten().dictionary_encode()
-        own = self.chunks(held.dictionary.to_pylist())
-        sizes = np.array([len(ids) // 4 for ids in own], np.int64)
-        flat = np.frombuffer(b"".join(own), np.int32)
-        starts = np.cumsum(sizes) - sizes
-        word = held.indices.to_numpy(zero_copy_only=False)
-        per_word = sizes[word]
-        ends = np.concatenate(([0], np.cumsum(per_word)))
-        ids = flat[np.repeat(starts[word] - ends[:-1], per_word) + np.arange(ends[-1])]
-        bounds = np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))))
-        return pa.LargeListArray.from_arrays(pa.array(ends[bounds]), pa.array(ids, pa.int32()))
+        ids, _ = per_distinct(pc.ascii_split_whitespace(texts), self.chunks)
+        return ids
 
     def decode(self, ids: pa.Array) -> pa.LargeStringArray:
         """The texts of lists of token ids."""

@@ -6,6 +6,7 @@ import sys
 import types
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -78,3 +79,38 @@ def held_by_process(key: str, make):
     if key not in held:
         held[key] = make()
     return held[key]
+
+
+class Lately(dict):
+    """What was looked up lately: when it is full, what was not used since the last time goes."""
+
+    def __init__(self, most: int) -> None:
+        self.most = most
+        self.older: dict = {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is not None:
+            self[key] = value
+        return value
+
+    def tidy(self) -> None:
+        if len(self) > self.most:
+            self.older = dict(self)
+            self.clear()
+
+
+def per_distinct(lists: pa.Array, ids_of) -> tuple[pa.LargeListArray, pa.DictionaryArray]:
+    """Lists of strings to lists of what `ids_of` gives for each distinct string, 4-byte numbers in bytes, one after
+    the other; and all strings as places among the distinct ones."""
+    held = lists.flatten().dictionary_encode()
+    own = ids_of(held.dictionary.to_pylist())
+    sizes = np.array([len(ids) // 4 for ids in own], np.int64)
+    flat = np.frombuffer(b"".join(own), np.int32)
+    starts = np.cumsum(sizes) - sizes
+    place = held.indices.to_numpy(zero_copy_only=False)
+    each = sizes[place]
+    ends = np.concatenate(([0], np.cumsum(each)))
+    ids = flat[np.repeat(starts[place] - ends[:-1], each) + np.arange(ends[-1])]
+    bounds = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))))
+    return pa.LargeListArray.from_arrays(pa.array(ends[bounds]), pa.array(ids, pa.int32())), held

@@ -12,6 +12,7 @@ import os
 import re
 import struct
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -21,9 +22,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starflow.llm.rows import blocks, documents
+from starflow.llm.rows import Lately, blocks, documents, held_by_process, per_distinct
 
 SPACE = "▁"
+# Words kept from block to block in a worker process: two halves of this many, none longer; bytes of a block.
+KEPT_WORDS, KEPT_LENGTH = 150_000, 64
+_BLOCK = 1 << 20
+# Words that are encoded as one text.
+_TOGETHER = 1 << 11
 # Fixed values of the model format: kinds of pieces, kinds of models.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -183,6 +189,88 @@ class Codec:
             self.original = sentencepiece.SentencePieceProcessor(model_proto=model)
             self.spelled = re.compile("|".join(re.escape(p) for p, _, kind in parsed.pieces if kind not in (NORMAL, USER_DEFINED)))
 
+        # Where every blank begins a word and nothing else is changed, words are encoded by themselves, each
+        # distinct one once.
+        self.by_word = (
+            parsed.kind == BPE
+            and self.tokenizer.pre_tokenizer is not None
+            and parsed.escape
+            and parsed.dummy_prefix
+            and not parsed.remove_extra
+            and not parsed.charsmap
+            and not any(kind == USER_DEFINED for _, _, kind in parsed.pieces)
+        )
+        self.kept = Lately(KEPT_WORDS)
+        pieces = [p for p, _, _ in parsed.pieces]
+        self.begins = np.array([p.startswith(SPACE) for p in pieces])
+        # Tokens that decode to their own text, with blanks for metaspaces, or to a byte.
+        self.plain = np.array([kind in (NORMAL, BYTE) for _, _, kind in parsed.pieces])
+        self.shown = pa.array(
+            [
+                bytes([int(p[1:-1], 16)]) if kind == BYTE else p.replace(SPACE, " ").encode()
+                for p, _, kind in parsed.pieces
+            ],
+            pa.large_binary(),
+        )
+        self.one_blank_off = parsed.dummy_prefix and parsed.escape
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, each with the blank before it, as 4-byte numbers."""
+        found = {w: self.kept[w] for w in words}
+        missing = [w for w, known in found.items() if known is None]
+        for at in range(0, len(missing), 16 * _TOGETHER):
+            # Some thousand words are one text; each begins with the only piece that has a metaspace ahead.
+            parts = [missing[i : i + _TOGETHER] for i in range(at, min(at + 16 * _TOGETHER, len(missing)), _TOGETHER)]
+            for part, made in zip(parts, self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)):
+                ids = np.array(made.ids, np.int32)
+                cuts = np.flatnonzero(self.begins[ids])
+                if len(cuts) == len(part) and cuts[0] == 0:
+                    raw, ends = ids.tobytes(), [*(4 * cuts[1:]).tolist(), 4 * len(ids)]
+                    own = [raw[a:b] for a, b in zip([0, *ends], ends)]
+                else:
+                    own = [array("i", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+                new = dict(zip(part, own))
+                found.update(new)
+                self.kept.update((w, x) for w, x in new.items() if len(w) <= KEPT_LENGTH)
+        self.kept.tidy()
+        return [found[w] for w in words]
+
+    def _texts(self, ids: pa.LargeListArray) -> list[str]:
+        """What lists of ids decode to. Tokens that stand for their text or a byte are joined; where that is no text, or there
+        are others, the library decodes."""
+        flat, ends = ids.values.to_numpy(), ids.offsets.to_numpy()
+        tokens = pa.LargeListArray.from_arrays(ids.offsets, self.shown.take(pa.array(flat)))
+        joined = pc.binary_join(tokens, pa.scalar(b"", pa.large_binary())).to_pylist()
+        odd = np.concatenate(([0], np.cumsum(~self.plain[flat])))
+        others = set(np.flatnonzero(odd[ends[1:]] > odd[ends[:-1]]).tolist())
+        texts = []
+        for row, raw in enumerate(joined):
+            try:
+                text = raw.decode()
+            except UnicodeDecodeError:
+                others.add(row)
+                text = ""
+            texts.append(text[1:] if self.one_blank_off and text[:1] == " " else text)
+        rows = sorted(others)
+        for row, text in zip(rows, self.decode([flat[ends[r] : ends[r + 1]].tolist() for r in rows])):
+            texts[row] = text
+        return texts
+
+    def both_ways(self, texts: pa.LargeStringArray) -> tuple[pa.LargeListArray, list[str]]:
+        """Token ids of each text, and what they decode to."""
+        # A text with blanks side by side, at an end, or with metaspaces of its own is encoded whole.
+        odd = pc.or_(pc.match_substring_regex(texts, f"^ |  | $|{SPACE}"), pc.equal(texts, "")).to_numpy(zero_copy_only=False)
+        if not self.by_word or odd.all():
+            ids = self.encode(texts.to_pylist())
+            return pa.array(ids, pa.large_list(pa.int32())), self.decode(ids)
+        ids, _ = per_distinct(pc.split_pattern(texts.filter(pa.array(~odd)), " "), self._words)
+        if odd.any():
+            whole = pa.array(self.encode(texts.filter(pa.array(odd)).to_pylist()), pa.large_list(pa.int32()))
+            order = np.empty(len(odd), np.int64)
+            order[~odd], order[odd] = np.arange(len(ids)), len(ids) + np.arange(len(whole))
+            ids = pa.concat_arrays([ids, whole]).take(pa.array(order))
+        return ids, self._texts(ids)
+
     def encode(self, texts: list[str]) -> list[list[int]]:
         ids = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         if self.original is not None:
@@ -195,30 +283,36 @@ class Codec:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
 
+def _codec(model: bytes, threads: int) -> Codec:
+    digest = hashlib.sha256(model).hexdigest()
+    return held_by_process(f"pieces {digest} {threads}", lambda: Codec(model, threads))
+
+
+def _original(model: bytes):
+    import sentencepiece
+
+    digest = hashlib.sha256(model).hexdigest()
+    return held_by_process(f"original {digest}", lambda: sentencepiece.SentencePieceProcessor(model_proto=model))
+
+
 def _encoded(model: bytes, threads: int, verify: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model, threads)
-        reference = None
-        if verify:
-            import sentencepiece
-
-            reference = sentencepiece.SentencePieceProcessor(model_proto=model)
-        for batch, texts in blocks(batches, size=1 << 20):
+        codec = _codec(model, threads)
+        reference = _original(model) if verify else None
+        for batch, texts in blocks(batches, size=_BLOCK):
             plain = texts.to_pylist()
-            ids = codec.encode(plain)
-            decoded = codec.decode(ids)
-            for text, own in zip(plain, ids):
+            ids, decoded = codec.both_ways(texts)
+            ends, flat = ids.offsets.to_numpy(), ids.values.to_numpy()
+            for row, text in enumerate(plain) if verify else ():
                 # Chosen by their content, so that a rerun checks the same texts.
-                if verify and hashlib.blake2b(text.encode(), digest_size=4).digest()[0] % verify == 0:
-                    if reference.encode(text) != own:
+                if verify == 1 or hashlib.blake2b(text.encode(), digest_size=4).digest()[0] % verify == 0:
+                    if not np.array_equal(reference.encode(text), flat[ends[row] : ends[row + 1]]):
                         raise ValueError(f"encoding differs from the model's: {text[:80]!r}")
-            ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-            flat = np.fromiter((i for own in ids for i in own), np.int32, int(ends[-1]))
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id"),
                     "n_tokens": pa.array(np.diff(ends).astype(np.int64)),
-                    "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                    "ids": ids.cast(pa.list_(pa.int32())),
                     "decoded_sha256": pa.array(
                         [hashlib.sha256(x.encode()).hexdigest() for x in decoded], pa.string()
                     ),
@@ -247,7 +341,7 @@ def encode(docs: DataFrame, model: bytes, threads: int = 2, verify: int = 1) ->
 
 def _decoded(model: bytes, threads: int):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model, threads)
+        codec = _codec(model, threads)
         for batch in batches:
             rows, held = 0, 0
             sizes = pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_pylist()

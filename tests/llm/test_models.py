@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from starflow.llm import language_id, toxicity
+from starflow.llm import sentencepiece_tokens as tokens
 from starflow.llm.queries import SENTENCEPIECE_MODEL
 from starflow.llm.sentencepiece_tokens import Codec, Model, build, decode, encode, parse
 
@@ -240,3 +241,37 @@ def test_round_trip_of_whole_texts(spark, odd_docs, no_docs):
     assert encode(no_docs, MODEL).collect() == []
     rows = driver.queries()["op8_sentencepiece"](spark, MEDIUM).collect()
     assert len(rows) == 1000 and all(r.round_trip for r in rows)
+
+
+@needs_model
+def test_words_encoded_once_equal_whole_texts(monkeypatch):
+    """Blanks side by side and at the ends, metaspaces, bytes, broken pieces of special tokens, and a small store of words."""
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 50)
+    monkeypatch.setattr(tokens, "_TOGETHER", 7)
+    codec = tokens.Codec(MODEL, 1)
+    assert codec.by_word
+    draw = random.Random(4)
+    parts = [*"abc  éß日\n\t　▁😀\x00", "<s>", "</s>", "<0x41>", "<unk>", "the", " ", "﻿", "é", "ﬁ"]
+    for _ in range(20):
+        texts = ["".join(draw.choices(parts, k=draw.randint(0, 30))) for _ in range(200)]
+        ids, decoded = codec.both_ways(pa.array(texts, pa.large_string()))
+        whole = codec.encode(texts)
+        assert ids.to_pylist() == whole and decoded == codec.decode(whole)
+        assert len(codec.kept) <= 50
+
+
+def test_what_a_worker_keeps_does_not_grow(spark):
+    """The codec and the words it keeps are made once in a process and stay below their bound."""
+    from starflow.llm import rows
+
+    made = []
+    for _ in range(3):
+        rows.held_by_process("test of what is kept", lambda: made.append(1) or made)
+    assert made == [1]
+    kept = rows.Lately(10)
+    for n in range(1000):
+        assert kept[n] is None
+        kept[n] = str(n)
+        kept.tidy()
+        assert len(kept) <= 10 and len(kept.older) <= 11
+    assert kept[999] == "999"
