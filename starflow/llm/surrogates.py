@@ -42,11 +42,16 @@ def _either(words: str) -> str:
 
 _ANY_GIVEN = _either(" ".join(GIVEN.values()))
 _START, _END = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
-# With inner capitals and apostrophes (McDonald, O'Brien), or in capitals; without a possessive 's.
-_NAME = rf"\p{{Lu}}(?:\p{{L}}|['’](?![Ss]{_END})\p{{Lu}})+"
+# With inner capitals and apostrophes (McDonald, O'Brien), or in capitals; without a possessive 's. Repeated groups are
+# possessive: others make the regex engine go one call deeper with each letter of a token.
+_NAME = rf"\p{{Lu}}(?:\p{{L}}++|['’](?![Ss]{_END})\p{{Lu}})++"
 _SPACE = "[ \u00a0]"
+# An e-mail's name is looked for from where a run of its characters begins, after some marks at most, or close before
+# the @: from everywhere else in the run, a long one would be read over and over.
+_LOCAL = r"[A-Za-z0-9._%+\-]"
+_IN_REACH = rf"(?:(?<=(?:^|[^A-Za-z0-9._%+\-])[._%+\-]{{0,8}})|(?={_LOCAL}{{1,64}}+@))"
 PATTERNS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+\-]*+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+",
+    "email": rf"(?=[A-Za-z0-9]){_IN_REACH}{_LOCAL}++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++)++",
     "phone": r"\+[1-9]\d{0,2}(?:[ .\-]?\(\d{1,4}\))?(?:[ .\-]?\d{2,4}){2,4}",
     "ip": r"(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)",
     "card": r"\d(?:[ \-]?\d){12,18}",
@@ -60,6 +65,10 @@ PATTERNS = {
 PATTERN = _START + "(?:" + "|".join(PATTERNS.values()) + ")" + _END
 
 
+# Longer names are replaced where a title or given name stands before them, and not looked for elsewhere.
+LONGEST_NAME = 100
+
+
 def _pattern_with(names: Column) -> Column:
     """The pattern that also finds these names (plain ones) by themselves, in any case but lower."""
     longest = F.reverse(F.array_sort(F.transform(names, lambda n: F.struct(F.length(n).alias("n"), n.alias("name")))))
@@ -188,6 +197,11 @@ def _surrogate(kind: Column, plain: Column, attempt: Column) -> Column:
     ip = (
         F.when(plain.startswith("10.") & (attempt < 8), F.concat_ws(".", F.lit("10"), *octets[1:]))
         .when(plain.startswith("192.168.") & (attempt < 8), F.concat_ws(".", F.lit("192.168"), *octets[2:]))
+        .when(plain.startswith("127.") & (attempt < 8), F.concat_ws(".", F.lit("127"), *octets[1:]))
+        .when(
+            plain.rlike(r"^172\.(1[6-9]|2\d|3[01])\.") & (attempt < 8),
+            F.concat_ws(".", F.lit("172"), (F.get(draws, F.lit(1)) % 16 + 16).cast("string"), *octets[2:]),
+        )
         .otherwise(F.concat_ws(".", (F.get(draws, F.lit(0)) % 80 + 101).cast("string"), *octets[1:]))
     )
     body = F.concat(
@@ -252,8 +266,10 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     originals = saved(entities.select("kind", "plain").distinct(), "entities")
     taken = originals.withColumnRenamed("plain", "surrogate")
     done, left = None, originals.withColumn("attempt", F.lit(0))
+    # Few bytes, but much to compute for each: dealt out evenly, however small the files are.
+    tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while True:
-        drawn = saved(_drawn(left, key), "drawn")
+        drawn = saved(_drawn(left.repartition(tasks, "kind", "plain"), key), "drawn")
         best = (
             drawn.groupBy("kind", "surrogate")
             .agg(F.min("plain").alias("plain"))
@@ -332,7 +348,10 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
             F.map_from_entries(
                 F.collect_set(F.struct(F.concat_ws("|", "kind", "plain"), "surrogate"))
             ).alias("map"),
-            F.collect_set(F.when(F.col("kind").rlike("^(given|family)"), F.col("plain"))).alias("names"),
+            # No pattern is made of a token of thousands of letters.
+            F.collect_set(
+                F.when(F.col("kind").rlike("^(given|family)") & (F.length("plain") <= LONGEST_NAME), F.col("plain"))
+            ).alias("names"),
         )
         .withColumn("pattern", _pattern_with(F.col("names")))
         .drop("names"),
@@ -356,7 +375,7 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     # Only a text that has a map is searched again.
     has = F.col("map").isNotNull()
     return (
-        keyed.join(maps, ["row", "row2"], "left")
+        keyed.join(maps.hint("merge"), ["row", "row2"], "left")  # the same join at every size
         .withColumn("entities", F.when(has, F.regexp_extract_all("text", F.col("pattern"), F.lit(0))))
         .select(
             "doc_id",

@@ -451,3 +451,41 @@ def test_fingerprints_of_odd_rows(spark, odd_docs, no_docs):
     assert winnowing.edited_fingerprints(no_docs).collect() == []
     lone = winnowing.edited_fingerprints(odd_docs.filter("doc_id = 5")).collect()
     assert [(r.n_chars, r.near_next) for r in lone] == [(1, 1.0)]
+
+
+def test_very_long_tokens_of_each_kind(spark):
+    """A megabyte in one token: no pattern goes deeper with each of its characters."""
+    n = 1_000_000
+    texts = {
+        "name": "Mr A" + "a" * n,
+        "capitals": "MR " + "A" * n + " left",
+        "apostrophes": "Anna O" + "'B" * (n // 2),
+        "hyphens": "Anna Ba-B" + "b" * n,
+        "host": "x@b" + ".c" * (n // 2),
+        "local": "a" * n + "@b.com",
+        "hexadecimal": "ab12" * (n // 4),
+        "digits": "4" * n,
+        "dots": "1." * (n // 2),
+    }
+    rows = [(i, text) for i, text in enumerate(texts.values())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in pseudonymize(docs, "k").collect()}
+    assert len(got) == len(texts)
+    found = {kind: got[i].n_entities for i, kind in enumerate(texts)}
+    assert found == {
+        "name": 1, "capitals": 1, "apostrophes": 2, "hyphens": 2, "host": 1, "local": 1, "hexadecimal": 1, "digits": 0, "dots": 1,
+    }
+    for i, (kind, text) in enumerate(texts.items()):
+        assert (got[i].text == text) == (found[kind] == 0), kind
+
+
+def test_addresses_stay_in_their_ranges(spark):
+    given = ["10.1.2.3", "192.168.7.7", "127.0.0.1", "172.16.4.5", "172.31.9.9", "172.32.1.1", "8.8.8.8"]
+    docs = spark.createDataFrame([(i, f"at {ip} now") for i, ip in enumerate(given)], "doc_id long, text string")
+    got = [r.text.split()[1] for r in sorted(pseudonymize(docs, "k").collect())]
+    import ipaddress
+
+    for old, new in zip(given, got):
+        assert new != old
+        assert ipaddress.ip_address(new).is_private == ipaddress.ip_address(old).is_private
+        assert ipaddress.ip_address(new).is_loopback == ipaddress.ip_address(old).is_loopback
