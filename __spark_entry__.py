@@ -22,10 +22,13 @@ from starflow.functions import (  # noqa: E402
 )
 from starflow.operators import (  # noqa: E402
     cast_declared,
+    cast_rescuing,
     distinct_rows,
     drop_columns,
     first_row_per_key,
+    key_collisions,
     rename_columns,
+    rescued_values,
     row_count,
     table_counts,
 )
@@ -35,11 +38,14 @@ from starflow.plans import (  # noqa: E402
     gold_table,
     gold_tables,
     ingest_bronze,
+    load_report,
     run_day,
+    run_once,
     run_refresh,
     silver_tables,
     users_over_days,
 )
+from starflow.plans.refresh import STAGES  # noqa: E402
 from starflow.plans.silver import dim_page, fact_events  # noqa: E402
 from starflow.sample_clicks import bronze_view, raw_export, table  # noqa: E402
 from starflow.sources import (  # noqa: E402
@@ -237,6 +243,52 @@ def refresh_fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_zoneless(warehouse_tables(spark, config.database)["fact_events"])
 
 
+def refresh_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every check of a refresh from raw CSV: what was expected and what was found."""
+    config, _ = _refresh(spark, sf_dir)
+    return load_report(spark, config)
+
+
+def refresh_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per warehouse table after a refresh that stopped after silver and was taken up again."""
+    root = scratch_path(spark, "resumed")
+    write_csv(raw_export(spark, sf_dir), f"{root}/raw")
+    config = RefreshConfig(f"{root}/raw", f"{root}/lake", "starflow_" + root.rsplit("-", 1)[1], f"{root}/warehouse")
+
+    def stop(spark: SparkSession, config: RefreshConfig) -> None:
+        raise InterruptedError
+
+    try:
+        run_once(spark, config, "first", {**STAGES, "gold": stop})
+    except InterruptedError:
+        pass
+    return run_once(spark, config, "first")
+
+
+# Characters of a key in the audit below: few enough for keys to collide.
+SHORT_KEY = 3
+
+
+def key_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Natural keys that would share a key if keys were much shorter."""
+    return key_collisions(bronze_view(spark, sf_dir), SHORT_KEY)
+
+
+# Some values of events as text that does not parse.
+GARBAGE_SQL = {
+    "ts": "CASE WHEN event_id % 97 = 0 THEN concat('n/a ', CAST(event_id AS STRING)) ELSE '2024-01-01 00:00:00' END",
+    "value": "CASE WHEN event_id % 89 = 0 THEN '12,5' WHEN event_id % 83 = 0 THEN '  ' ELSE '1.5' END",
+}
+
+
+def csv_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of an export that are not of their declared type, with the event and column they are from."""
+    path = scratch_path(spark, "garbage-csv")
+    garbled = {name: F.expr(sql) for name, sql in GARBAGE_SQL.items()}
+    write_csv(table(spark, sf_dir, "events").withColumns(garbled), path)
+    return rescued_values(cast_rescuing(read_csv(spark, path), EVENT_TYPES), ["event_id"])
+
+
 def snapshot_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per table after all six were published together, twice."""
     root = scratch_path(spark, "snapshots")
@@ -393,6 +445,10 @@ def queries() -> dict[str, Query]:
         "warehouse_truncate": warehouse_truncate,
         "refresh_counts": refresh_counts,
         "refresh_fact_events": refresh_fact_events,
+        "refresh_reconciled": refresh_reconciled,
+        "refresh_resumed": refresh_resumed,
+        "key_audit": key_audit,
+        "csv_rescue": csv_rescue,
         "snapshot_publish": snapshot_publish,
         "daily_row_counts": daily_row_counts,
         "daily_dim_user": daily_dim_user,
@@ -440,13 +496,18 @@ bronze AS (
 )
 """
 
-USER_KEY_SQL = "substr(md5(distinct_id), 1, 16)"
-DEVICE_KEY_SQL = """substr(md5(concat_ws('|', coalesce(device_type, ''), coalesce(browser, ''),
+KEY_TEXT_SQL = {
+    "user": "distinct_id",
+    "device": """concat_ws('|', coalesce(device_type, ''), coalesce(browser, ''),
   coalesce(browser_version, ''), coalesce(os, ''), coalesce(os_version, ''),
-  coalesce(browser_language, ''))), 1, 16)"""
-GEO_KEY_SQL = "substr(md5(coalesce(country_code, 'UNKNOWN')), 1, 16)"
-SESSION_KEY_SQL = "substr(md5(coalesce(session_id, prop_session_id, 'null')), 1, 16)"
-PAGE_KEY_SQL = "substr(md5(concat_ws('|', coalesce(host, ''), coalesce(pathname, ''))), 1, 16)"
+  coalesce(browser_language, ''))""",
+    "geo": "coalesce(country_code, 'UNKNOWN')",
+    "session": "coalesce(session_id, prop_session_id, 'null')",
+    "page": "concat_ws('|', coalesce(host, ''), coalesce(pathname, ''))",
+}
+USER_KEY_SQL, DEVICE_KEY_SQL, GEO_KEY_SQL, SESSION_KEY_SQL, PAGE_KEY_SQL = (
+    f"substr(md5({text}), 1, 16)" for text in KEY_TEXT_SQL.values()
+)
 
 SILVER_SQL = {
     "dim_user": f"""
@@ -504,6 +565,22 @@ def oracle_sql() -> dict[str, str]:
         for name, sql in SILVER_SQL.items()
     )
     events = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
+    counted = {
+        "bronze to silver: fact_events": "SELECT count(*) AS n FROM bronze",
+        **{f"silver to gold: {name}": f"SELECT count(*) AS n FROM ({sql}) AS t" for name, sql in SILVER_SQL.items()},
+        **{f"gold to warehouse: {name}": f"SELECT count(*) AS n FROM ({sql}) AS t" for name, sql in SILVER_SQL.items()},
+        **{
+            f"keys: dim_{key}": f"SELECT count(DISTINCT {key}_key) AS n FROM ({SILVER_SQL['fact_events']}) AS t"
+            for key in KEY_TEXT_SQL
+        },
+    }
+    reconciled = BRONZE_SQL + " UNION ALL ".join(
+        f"SELECT '{name}' AS check_name, n AS expected, n AS found FROM ({sql}) AS c" for name, sql in counted.items()
+    )
+    key_audit_sql = f"""
+        SELECT key_name, substr(md5(text), 1, {SHORT_KEY}) AS key, min(text) AS smallest, max(text) AS largest
+        FROM ({" UNION ALL ".join(f"SELECT '{k}_key' AS key_name, {sql} AS text FROM bronze" for k, sql in KEY_TEXT_SQL.items())}) AS texts
+        WHERE text IS NOT NULL GROUP BY 1, 2 HAVING min(text) <> max(text)"""
     return {
         "csv_scan_typed": events,
         "bronze_ingest": events,
@@ -546,6 +623,13 @@ def oracle_sql() -> dict[str, str]:
              FROM bronze""",
         "refresh_counts": row_counts,
         "refresh_fact_events": gold["fact_events"],
+        "refresh_reconciled": reconciled,
+        "refresh_resumed": row_counts,
+        "key_audit": BRONZE_SQL + key_audit_sql,
+        "csv_rescue": f"""
+            SELECT event_id, 'ts' AS column_name, {GARBAGE_SQL["ts"]} AS text FROM events WHERE event_id % 97 = 0
+            UNION ALL
+            SELECT event_id, 'value' AS column_name, '12,5' AS text FROM events WHERE event_id % 89 = 0""",
         "snapshot_publish": row_counts,
         "daily_row_counts": row_counts,
         "daily_dim_user": gold["dim_user"],

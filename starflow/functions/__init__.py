@@ -4,8 +4,10 @@ from starflow.functions.keys import (
     device_key,
     digest_key,
     geo_key,
+    key_texts,
     page_key,
     piped_key,
+    piped_text,
     session_id,
     session_key,
     user_id,
@@ -29,10 +31,12 @@ __all__ = [
     "digest_key",
     "first_present",
     "geo_key",
+    "key_texts",
     "or_default",
     "page_key",
     "parse_timestamp",
     "piped_key",
+    "piped_text",
     "session_id",
     "session_key",
     "upper_text",

@@ -29,9 +29,25 @@ def digest_key(text: Column) -> Column:
     return F.substring(F.md5(text), 1, KEY_LENGTH)
 
 
+def piped_text(*columns: str | Column) -> Column:
+    """Several parts as one text. NULL counts as '', since concat_ws would skip it."""
+    return F.concat_ws(SEPARATOR, *[or_default(c, "") for c in columns])
+
+
 def piped_key(*columns: str | Column) -> Column:
-    """Key of several parts. NULL hashes as '', since concat_ws would skip it."""
-    return digest_key(F.concat_ws(SEPARATOR, *[or_default(c, "") for c in columns]))
+    """Key of several parts."""
+    return digest_key(piped_text(*columns))
+
+
+def key_texts() -> dict[str, Column]:
+    """What each of the five keys hashes."""
+    return {
+        "user_key": as_text("distinct_id"),
+        "device_key": piped_text(*DEVICE_COLUMNS),
+        "geo_key": or_default("country_code", NO_COUNTRY),
+        "session_key": or_default(session_id(), NO_SESSION),
+        "page_key": piped_text(*PAGE_KEY_COLUMNS),
+    }
 
 
 def user_id() -> Column:

@@ -1,5 +1,14 @@
 """Operators: functions from DataFrame to DataFrame. None of them runs a job."""
 
+from starflow.operators.audit import (
+    Mismatch,
+    cast_rescuing,
+    collisions,
+    fail_on_mismatch,
+    key_collisions,
+    rescued_counts,
+    rescued_values,
+)
 from starflow.operators.cleaning import (
     cast_declared,
     clean,
@@ -12,6 +21,13 @@ from starflow.operators.counting import row_count, table_counts
 from starflow.operators.dedup import distinct_rows, first_row_per_key
 
 __all__ = [
+    "Mismatch",
+    "cast_rescuing",
+    "collisions",
+    "fail_on_mismatch",
+    "key_collisions",
+    "rescued_counts",
+    "rescued_values",
     "cast_declared",
     "clean",
     "distinct_rows",

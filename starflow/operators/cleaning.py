@@ -44,7 +44,7 @@ def cast_declared(
     """
     text = {f.name.lower(): f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
     casts = {
-        text[name.lower()]: declared(F.col(text[name.lower()]), type_name, zone)
+        text[name.lower()]: declared(F.col(_quoted(text[name.lower()])), type_name, zone)
         for name, type_name in types.items()
         if name.lower() in text
     }
@@ -71,3 +71,7 @@ def clean(raw: DataFrame, zone: str = "UTC") -> DataFrame:
     events = rename_columns(drop_columns(raw, UNUSED_COLUMNS), COLUMN_NAMES)
     needed = [name for names in SILVER_INPUTS.values() for name in names]
     return cast_declared(require_columns(events, needed), zone=zone)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
