@@ -371,6 +371,7 @@ def _encoded(content: bytes, decoded: bool):
             if decoded:
                 columns["text"] = codec.decode(ids).cast(pa.string())
             yield pa.record_batch(columns)
+        pa.default_memory_pool().release_unused()
 
     return encode
 

@@ -24,6 +24,7 @@ from starflow.llm.words import Words, distinct_by_row, mix, stream
 _UNFILLED = np.uint64(0xFFFFFFFFFFFFFFFF)
 _VALUE_BITS = np.uint64(44)
 _BLOCK = 128  # sets that are compared with as many others at once
+_TEXT_BLOCK = 1 << 19  # bytes of text that are made into sets at once
 
 
 def fast_similarity_sketch(values: np.ndarray, first: np.ndarray, t: int) -> np.ndarray:
@@ -83,7 +84,7 @@ def sketches(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
     """(doc_id, row, n_shingles, digest of the whole set, band keys) of every document."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in blocks(batches):
+        for batch, texts in blocks(batches, size=_TEXT_BLOCK):
             values, first = _sets(texts, words)
             keys = band_keys(fast_similarity_sketch(values, first, bands * rows), rows)
             yield pa.record_batch(
@@ -107,7 +108,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, digest, shingles) of every document: the full set, as 64-bit hashes, in order."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in blocks(batches):
+        for batch, texts in blocks(batches, size=_TEXT_BLOCK):
             values, first = _sets(texts, words)
             yield pa.record_batch(
                 {

@@ -26,7 +26,7 @@ from starflow.llm.rows import Lately, blocks, documents, held_by_process, per_di
 
 SPACE = "▁"
 # Words kept from block to block in a worker process: two halves of this many, none longer; bytes of a block.
-KEPT_WORDS, KEPT_LENGTH = 150_000, 64
+KEPT_WORDS, KEPT_LENGTH = 50_000, 64
 _BLOCK = 1 << 20
 # Words that are encoded as one text.
 _TOGETHER = 1 << 11
@@ -319,6 +319,7 @@ def _encoded(model: bytes, threads: int, verify: int):
                     "round_trip": pa.array([a == b for a, b in zip(plain, decoded)]),
                 }
             )
+        pa.default_memory_pool().release_unused()  # the worker stays, for whatever comes next
 
     return encode
 
