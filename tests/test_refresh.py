@@ -74,6 +74,24 @@ def test_stages_can_be_submitted_one_by_one(spark, config, capsys):
     assert_all_tables_equal_their_oracles(spark, config.database)
 
 
+def test_the_job_goes_on_verifies_and_loads_a_date(spark, config, capsys):
+    paths = ["--raw", config.raw_path, "--lake", config.lake_root, "--database", config.database]
+    paths += ["--database-location", config.database_location]
+    run_job.main(["all", *paths, "--run", "first"])
+    bronze = read_parquet(spark, config.bronze_path).inputFiles()
+    run_job.main(["all", *paths, "--run", "first"])
+    assert read_parquet(spark, config.bronze_path).inputFiles() == bronze
+    run_job.main(["verify", *paths])
+    assert capsys.readouterr().out.count("fact_events: 1,000 rows") == 2
+    days = [*paths[:5], config.database + "_daily", "--database-location", config.database_location + "_daily"]
+    run_job.main(["day", *days, "--date", "20250901"])
+    run_job.main(["day", *days, "--date", "2025-09-01"])
+    assert capsys.readouterr().out.count("fact_events: 1,000 rows") == 2
+    for bad in (["day", *paths], ["silver", *paths, "--run", "x"]):
+        with pytest.raises(SystemExit):
+            run_job.main(bad)
+
+
 def test_silver_exports_to_csv_and_back(spark, config, tmp_path):
     run_refresh(spark, config)
     export_silver(spark, config.silver_root, str(tmp_path / "csv"))
