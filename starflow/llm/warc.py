@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import codecs
 import hashlib
 import html
 import json
@@ -21,14 +22,15 @@ _CRLF = "\r\n"
 _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: the URL namespace
 # Elements that begin a line of their own; those whose content is no text.
 _BLOCKS = "address article aside blockquote br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol option p pre section table td th title tr ul"
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<hidden>script|style|template|noscript|svg)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=hidden)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*>",
-    re.DOTALL | re.IGNORECASE,
+_HIDDEN = re.compile(r"<(script|style|template|noscript|svg)\b", re.IGNORECASE)
+_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)", re.IGNORECASE)
+_SPECIAL = re.compile(r"[>\"']")
+# A name is read from its beginning only, and once.
+_ATTRIBUTE = re.compile(
+    r"(?<![-\w:.])([a-zA-Z_:][-\w:.]*+)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))"
 )
-_ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+# Codecs of Python that no page is written in.
+_NO_CHARSETS = ("idna", "punycode", "raw-unicode-escape", "unicode-escape", "undefined")
 _BREAKING = frozenset(_BLOCKS.split())
 
 
@@ -140,11 +142,77 @@ def _charset(content_type: str | None, payload: bytes) -> str:
         start = payload[:2048].decode("ascii", "replace")
         named = re.search(r"<meta[^>]+charset=[\"']?([\w.:-]+)", start, re.I)
     try:
-        return "utf-8" if not named else (b"".decode(named[1]) or named[1])
-    except LookupError:
+        if not named or codecs.lookup(named[1]).name in _NO_CHARSETS:
+            return "utf-8"
+        return b"a".decode(named[1], "replace") and named[1]
+    except (LookupError, ValueError):  # unknown, or no charset that can stand in for broken text
         return "utf-8"
 
 
+class _Tags:
+    """Comments, hidden elements, tags and declarations of a page, in order, in time that grows with its length.
+
+    A tag ends at the first > outside quotes. Where there is none, what looked like a tag is text; the quotes passed on
+    the way are remembered, as no other tag that comes by one of them has an end either.
+    """
+
+    def __init__(self, source: str) -> None:
+        self.source = source
+        self.last = {mark: source.rfind(mark) for mark in "\"'>"}
+        self.endless: set[int] = set()
+        self.searched = self.special = -1
+
+    def _next_special(self, at: int) -> int:
+        """The first quote or > from `at` on; the last answer is kept, as many tags may have the same."""
+        if not self.searched <= at <= self.special:
+            found = _SPECIAL.search(self.source, at)
+            self.searched, self.special = at, found.start() if found else len(self.source)
+        return self.special
+
+    def _end(self, at: int) -> int:
+        """The end of a tag that is read outside quotes from `at` on, or -1."""
+        passed = []
+        special = self._next_special(at)
+        while special < len(self.source) and special not in self.endless:
+            mark = self.source[special]
+            if mark == ">":
+                return special + 1
+            passed.append(special)
+            if special >= self.last[mark]:
+                break
+            found = _SPECIAL.search(self.source, self.source.find(mark, special + 1) + 1)
+            special = found.start() if found else len(self.source)
+        self.endless.update(passed)
+        return -1
+
+    def __iter__(self) -> Iterator[tuple[int, int, str, bool, str]]:
+        """(start, end, tag in lower case or '', whether it closes, what follows its name)."""
+        source, at = self.source, self.source.find("<")
+        while at >= 0:
+            end, tag, close, rest = -1, "", False, ""
+            if source.startswith("<!--", at):
+                found = source.find("-->", at + 4)
+                end = found + 3 if found >= 0 else len(source)
+            elif (hidden := _HIDDEN.match(source, at)) and (begin := self._end(hidden.end())) >= 0:
+                closing = re.compile(rf"</{hidden[1]}\s*+>", re.IGNORECASE).search(source, begin)
+                end = closing.end() if closing else len(source)
+            elif (named := _TAG.match(source, at)) and (found := self._end(named.end())) >= 0:
+                end, tag, close, rest = found, named[2].lower(), bool(named[1]), source[named.end() : found - 1]
+            elif source[at + 1 : at + 2] in ("!", "?") and at < self.last[">"]:
+                end = source.find(">", at) + 1
+            if end >= 0:
+                yield at, end, tag, close, rest
+            at = source.find("<", max(end, at + 1))
+
+
+def _unescaped(text: str) -> str:
+    """Without character references. The library reads their numbers as they are, of any length."""
+    if "&#" in text:
+        text = re.sub(r"&#0++(?=[0-9])", "&#", text)
+        text = re.sub(r"&#([1-9][0-9]{7})[0-9]++", r"&#\1", text)
+    return html.unescape(text)
+
+
 def html_text(source: str) -> tuple[str, str | None, list[str]]:
     """Text, title and links of a page.
 
@@ -161,23 +229,22 @@ def html_text(source: str) -> tuple[str, str | None, list[str]]:
             title.append(text)
         parts.append(re.sub(r"\s+", " ", text))
 
-    for token in _TOKEN.finditer(source):
-        if token.start() > at:
-            add(html.unescape(source[at : token.start()]))
-        at = token.end()
-        tag = (token["tag"] or "").lower()
+    for start, end, tag, close, rest in _Tags(source):
+        if start > at:
+            add(_unescaped(source[at:start]))
+        at = end
         if tag in _BREAKING:
             parts.append("\n")
         if tag == "title":
-            in_title = not token["close"] and title is None
+            in_title = not close and title is None
             if in_title:
                 title = []
-        elif tag in ("a", "area", "link", "img", "iframe") and not token["close"]:
-            for name, *value in _ATTRIBUTE.findall(token["rest"]):
+        elif tag in ("a", "area", "link", "img", "iframe") and not close:
+            for name, *value in _ATTRIBUTE.findall(rest):
                 if name.lower() in ("href", "src"):
-                    links.append(html.unescape("".join(value)).strip())
+                    links.append(_unescaped("".join(value)).strip())
     if at < len(source):
-        add(html.unescape(source[at:]))
+        add(_unescaped(source[at:]))
     lines = (re.sub(r"[ \t]+", " ", line).strip() for line in "".join(parts).split("\n"))
     named = None if title is None else re.sub(r"\s+", " ", "".join(title)).strip()
     return "\n".join(line for line in lines if line), named, links
