@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starflow.llm.rows import documents, row_key
@@ -156,6 +156,15 @@ def joined_grams(
     ).otherwise(F.array_distinct(parts))
 
 
+def _labels(spark: SparkSession, parts: int, n: int) -> list[int]:
+    """n different numbers that a shuffle by their hash deals to different ones of `parts` partitions, as far as
+    there are enough."""
+    numbers = spark.range(16 * parts).select(F.col("id").cast("int").alias("label"))
+    dealt = numbers.groupBy(F.pmod(F.hash("label"), F.lit(parts)).alias("to")).agg(F.min("label").alias("label"))
+    found = sorted(r["label"] for r in dealt.collect())
+    return (found + list(range(16 * parts, 16 * parts + n)))[:n]
+
+
 def with_next(
     docs: DataFrame, columns: list[str], prepare: Callable[[DataFrame], DataFrame] = lambda df: df
 ) -> DataFrame:
@@ -180,11 +189,15 @@ def with_next(
     limits = sorted(set(limits or []))
     bounds = F.array(*[F.lit(x).cast("long") for x in limits]) if limits else F.array().cast("array<bigint>")
     # One comparison a limit, against thousands of characters hashed.
-    ranged = known.withColumn("range", F.size(F.filter(bounds, lambda x: x <= F.col("doc_id"))))
+    place = F.size(F.filter(bounds, lambda x: x <= F.col("doc_id")))
+    labels = F.array(*[F.lit(x) for x in _labels(spark, parts, len(limits) + 1)])
+    ranged = known.withColumn("range", F.get(labels, place))
     plain = ranged.columns
     # At most one row a range comes to the driver.
     tops = ranged.groupBy("range").agg(F.max(F.struct("doc_id", F.expr("-row AS low"))).alias("top"))
-    tops = sorted((r["range"], r["top"]["doc_id"], -r["top"]["low"]) for r in tops.collect())
+    tops = sorted(
+        ((r["range"], r["top"]["doc_id"], -r["top"]["low"]) for r in tops.collect()), key=lambda t: t[1]
+    )
     ranges = [r for r, _, _ in tops]
     guests = spark.createDataFrame(
         [(doc, row, ranges[(i + 1) % len(ranges)]) for i, (_, doc, row) in enumerate(tops)],
@@ -221,6 +234,36 @@ def _with_grams(docs: DataFrame, k: int, w: int) -> DataFrame:
     )
 
 
+# Positions below this travel as two bytes each.
+_NEAR = 1 << 16
+
+
+def _packed(df: DataFrame) -> DataFrame:
+    """`grams` as hashes of four bytes and positions of two, or four in a long text; half of a shuffle is grams."""
+    place = F.transform("grams", gram_position)
+    near = F.col("n_chars") <= _NEAR
+    return df.withColumns(
+        {
+            "hashes": F.transform("grams", lambda x: gram_hash(x).cast("int")),
+            "near": F.when(near, F.transform(place, lambda p: (p - _NEAR // 2).cast("smallint"))),
+            "far": F.when(~near, place.cast("array<int>")),
+        }
+    ).drop("grams")
+
+
+def _unpacked(hashes: Column, near: Column, far: Column) -> Column:
+    """The longs that `_packed` had."""
+
+    def whole(place: Callable[[Column], Column]) -> Column:
+        return F.transform(
+            hashes, lambda h, i: F.shiftleft(h.cast("long"), 32) + (F.lit(_POSITIONS) - place(i))
+        )
+
+    return F.when(near.isNotNull(), whole(lambda i: F.get(near, i).cast("long") + _NEAR // 2)).otherwise(
+        whole(lambda i: F.get(far, i).cast("long"))
+    )
+
+
 def fingerprints(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     """(doc_id, row, text, n_chars, grams) of every row of `docs` (doc_id, text).
 
@@ -241,8 +284,20 @@ def edited_fingerprints(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     third is replaced by nothing, and near_next is 0. Identical rows follow each other.
     """
     keyed = _keyed(docs)
-    chained = with_next(keyed, ["text", "n_chars", "grams"], lambda df: _with_grams(df, k, w))
-    lone = _with_grams(keyed.filter("doc_id IS NULL"), k, w).withColumn(
+    packed = ["hashes", "near", "far"]
+    chained = with_next(
+        keyed, ["text", "n_chars", *packed], lambda df: _packed(_with_grams(df, k, w))
+    ).select(
+        "doc_id",
+        "text",
+        "n_chars",
+        _unpacked(*map(F.col, packed)).alias("grams"),
+        F.when(
+            F.col("next").isNotNull(),
+            F.struct("next.text", "next.n_chars", _unpacked(*[F.col(f"next.{c}") for c in packed]).alias("grams")),
+        ).alias("next"),
+    )
+    lone = _with_grams(keyed.filter("doc_id IS NULL"), k, w).drop("row").withColumn(
         "next", F.lit(None).cast(chained.schema["next"].dataType)
     )
     both = chained.union(lone.select(*chained.columns))
