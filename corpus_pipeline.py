@@ -70,12 +70,28 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sentencepiece_tokens.encode(docs, Path(SENTENCEPIECE_MODEL).read_bytes())
 
 
+# Rows that go to a task's Python and back at a time, unless the session asks for fewer. Spark's default of 10,000 is
+# tens of megabytes of text, held several times over in an executor; operators cut it into blocks anyway.
+ROWS_AT_A_TIME = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _in_small_batches(stage: Stage) -> Stage:
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        asked = int(spark.conf.get(_BATCH))
+        if not 0 < asked <= ROWS_AT_A_TIME:
+            spark.conf.set(_BATCH, str(ROWS_AT_A_TIME))
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("toxicity", reject_toxic),
-    ("line_dedup", drop_repeated_lines),
-    ("near_dedup", drop_near_copies),
-    ("decontamination", drop_leaks),
-    ("tokens", encode),
+    ("toxicity", _in_small_batches(reject_toxic)),
+    ("line_dedup", _in_small_batches(drop_repeated_lines)),
+    ("near_dedup", _in_small_batches(drop_near_copies)),
+    ("decontamination", _in_small_batches(drop_leaks)),
+    ("tokens", _in_small_batches(encode)),
 ]
 
 # Classifier, sketches and tokens are beyond SQL; tests compare the stages with brute force.
