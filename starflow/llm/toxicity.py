@@ -112,7 +112,7 @@ def _examples(wanted: np.ndarray):
 def _fit(features: np.ndarray, ends: np.ndarray, ratios: np.ndarray, labels: np.ndarray):
     """Logistic regression on the scaled features by full gradient steps, from naive Bayes on.
 
-    The penalty is on how far a feature's coefficient is from 1, its value in naive Bayes.
+    Coefficients begin at a tenth of naive Bayes, whose are 1, and the penalty is on how far they go from there.
     """
     rows = np.repeat(np.arange(len(labels)), np.diff(ends))
     values = ratios[features]
