@@ -26,8 +26,8 @@ from starflow.llm.rows import Lately, blocks, documents, held_by_process, per_di
 
 SPACE = "▁"
 # Words kept from block to block in a worker process: two halves of this many, none longer; bytes of a block.
-KEPT_WORDS, KEPT_LENGTH = 120_000, 64
-_BLOCK = 1 << 20
+KEPT_WORDS, KEPT_LENGTH = 160_000, 64
+_BLOCK = 1 << 21
 # Words that are encoded as one text.
 _TOGETHER = 1 << 11
 # Fixed values of the model format: kinds of pieces, kinds of models.
@@ -328,7 +328,7 @@ def encode(docs: DataFrame, model: bytes, threads: int = 2, verify: int = 1) ->
     """(doc_id, n_tokens, ids, decoded_sha256, round_trip) of every row of `docs` (doc_id, text).
 
     `model` is a SentencePiece model file's content, which goes to the tasks as it is. Whole texts are encoded
-    in batches of about 1 MB of text on `threads` threads, and decoded again; `round_trip` says
+    in batches of about 2 MB of text on `threads` threads, and decoded again; `round_trip` says
     whether that gives the text back, which a model that normalises need not do. One text in
     `verify`, chosen by its content (1: every text, 0: none), is also encoded by the sentencepiece library, and
     any difference is an error. NULL and empty texts have no tokens. Rows without doc_id and repeated rows
