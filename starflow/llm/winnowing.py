@@ -50,14 +50,69 @@ def _window_minima(values: Column, w: int) -> Column:
     return F.when(F.size(values) >= w, whole).otherwise(F.array(F.array_min(values)))
 
 
+def _low(value: Column) -> Column:
+    """The complement of a value's position."""
+    return value.bitwiseAND(_POSITIONS)
+
+
+def _settled(values: Column, before: Column, behind: Column, w: int) -> Column:
+    """Of some values in the order of their positions, those that no window of w positions chooses something else over.
+
+    A value is chosen if w positions or more lie between the smaller ones nearest on either side. Where the neighbours are both
+    smaller and nearer than that, it goes; what it kept from being chosen, they keep from it too. Of neighbours one
+    at most goes, so all go at once, until none does. `before` and `behind` are the lows of the positions outside.
+    """
+
+    def stays(held: Column, x: Column, i: Column) -> Column:
+        left, right = F.get(held, i - 1), F.get(held, i + 1)
+        apart = F.coalesce(_low(left), before) - F.coalesce(_low(right), behind)
+        return F.when(left > x, F.lit(True)).when(right > x, F.lit(True)).otherwise(apart > w)
+
+    def turn(state: Column, _: Column) -> Column:
+        held = state["held"]
+        fewer = F.filter(held, lambda x, i: stays(held, x, i))
+        done = lambda x: F.struct(x.alias("held"), (F.size(x) == F.size(held)).alias("done"))
+        return F.when(state["done"], state).otherwise(_let(fewer, done))
+
+    # In w positions are w values at most, and each turn takes the largest of those that are to go.
+    start = F.struct(values.alias("held"), F.lit(False).alias("done"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(w)), start, turn)["held"]
+
+
+# Values a window holds on average of those that are looked at first.
+_FIRST = 10
+
+
+def _chosen_values(values: Column, before: Column, w: int) -> Column:
+    """The values that windows choose, in order. Minima are small, so only small values are looked at; where a window
+    has none of those, all are."""
+    every = F.array_distinct(_window_minima(values, w))
+    if w <= _FIRST:
+        return every
+    behind = before - F.size(values) - 1
+    small = F.filter(values, lambda x: x < ((1 << 31) * _FIRST // w) << 32)
+
+    def unless_empty(found: Column) -> Column:
+        far = F.filter(found, lambda x, i: F.coalesce(_low(F.get(found, i - 1)), before) - _low(x) > w)
+        whole = (F.size(far) == 0) & (_low(F.get(found, F.size(found) - 1)) - behind <= w)
+        return F.when(whole, found).otherwise(every)
+
+    settled = _let(small, lambda held: _settled(held, before, behind, w))
+    return F.when(F.size(values) >= w, _let(settled, unless_empty)).otherwise(every)
+
+
 def _chosen(text: Column, offset: Column, k: int, w: int) -> Column:
     """Chosen k-grams of a short text, in the order in which they are first chosen."""
     grams = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{k}}}))."), 1)
-    valued = F.when(
-        F.length(text) >= k,
-        F.transform(grams, lambda gram, i: _hash(gram) + (F.lit(_POSITIONS) - offset - i)),
-    ).otherwise(F.array(_hash(text) + (F.lit(_POSITIONS) - offset)))
-    chosen = _let(valued, lambda values: F.array_distinct(_window_minima(values, w)))
+
+    def of(top: Column) -> Column:
+        valued = F.when(
+            F.length(text) >= k, F.transform(grams, lambda gram, i: _hash(gram) + (top - i))
+        ).otherwise(F.array(_hash(text) + top))
+        return _let(valued, lambda values: _chosen_values(values, top + 1, w))
+
+    # Once a text; inside the function over the grams it would be worked out for each.
+    chosen = _let(F.lit(_POSITIONS) - offset, of)
     return F.when(F.length(text) > 0, chosen).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -90,22 +145,23 @@ def gram_position(gram: Column) -> Column:
 
 def fingerprint(grams: Column) -> Column:
     """The chosen hashes in order, eight hex digits each."""
-    digits = F.transform(grams, lambda x: F.lpad(F.lower(F.hex(gram_hash(x))), 8, "0"))
-    return F.array_join(digits, "")
+    digits = F.transform(grams, lambda x: F.lpad(F.hex(gram_hash(x)), 8, "0"))
+    return F.lower(F.array_join(digits, ""))
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Jaccard similarity of the chosen hashes; 1 if both texts have none."""
+def distinct_hashes(grams: Column) -> Column:
+    return F.array_distinct(F.transform(grams, gram_hash))
 
-    def of(hashes: Column, others: Column) -> Column:
-        shared = F.size(F.array_intersect(hashes, others))
-        total = F.size(hashes) + F.size(others) - shared
-        return F.when(total == 0, F.lit(1.0)).otherwise(shared / total)
 
-    return _let(
-        F.array_distinct(F.transform(a, gram_hash)),
-        lambda x: _let(F.array_distinct(F.transform(b, gram_hash)), lambda y: of(x, y)),
-    )
+def _alike(hashes: Column, others: Column) -> Column:
+    shared = F.size(F.array_intersect(hashes, others))
+    total = F.size(hashes) + F.size(others) - shared
+    return F.when(total == 0, F.lit(1.0)).otherwise(shared / total)
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """Jaccard similarity of the chosen hashes; 1 if both texts have none."""
+    return _let(distinct_hashes(a), lambda x: _let(distinct_hashes(b), lambda y: _alike(x, y)))
 
 
 def _chosen_by(grams: Column, windows: Column, w: int) -> Column:
@@ -320,6 +376,7 @@ def edited_fingerprints(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
         "grams",
         "lone",
         "next_grams",
+        distinct_hashes(F.col("grams")).alias("own"),
         F.sha2(F.concat("head", "tail"), 256).alias("edited_sha256"),
         joined_grams(
             F.col("head"), F.col("grams"), F.col("head_size"),
@@ -332,9 +389,9 @@ def edited_fingerprints(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
         "edited_sha256",
         fingerprint(F.col("grams")).alias("fingerprint"),
         fingerprint(F.col("edited_grams")).alias("edited_fingerprint"),
-        likeness(F.col("grams"), F.col("edited_grams")).alias("near_edited"),
+        _let(distinct_hashes(F.col("edited_grams")), lambda x: _alike(F.col("own"), x)).alias("near_edited"),
         F.when(F.col("lone"), F.lit(0.0))
-        .otherwise(likeness(F.col("grams"), F.col("next_grams")))
+        .otherwise(_let(distinct_hashes(F.col("next_grams")), lambda x: _alike(F.col("own"), x)))
         .alias("near_next"),
         F.transform("grams", gram_position).alias("positions"),
     )

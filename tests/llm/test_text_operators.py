@@ -427,6 +427,26 @@ def test_fingerprints_around_the_joint(spark):
     _assert_fingerprints(spark, docs, winnowing.edited_fingerprints(df.repartition(6)).collect())
 
 
+def test_few_values_settle_as_all_windows_choose(spark):
+    """Small values by themselves give what every window's minimum gives, also where values rise, fall or leave windows empty."""
+    draw, top = random.Random(9), winnowing._POSITIONS
+    few, many = [3, 1 << 29, 1 << 30], range(1 << 31)
+    hashes = [[draw.choice(kind) for _ in range(n)] for kind in (few, many) for n in (1, 11, 31, 32, 33, 64, 65, 900)]
+    hashes += [list(range(200)), list(range(200, 0, -1)), [(1 << 31) - 1] * 100, [5] * 40 + [(1 << 31) - 1] * 32 + [7] * 40]
+    rows = [(i, [(h << 32) + top - at for at, h in enumerate(own)]) for i, own in enumerate(hashes)]
+    df = spark.createDataFrame(rows, "i int, of array<long>")
+    for w in (1, 8, 11, 32, 50):
+        got = df.select(
+            "i",
+            winnowing._chosen_values(F.col("of"), F.lit(top + 1), w).alias("chosen"),
+            F.array_distinct(winnowing._window_minima(F.col("of"), w)).alias("every"),
+        ).collect()
+        assert [r.i for r in got if r.chosen != r.every] == [], w
+    # In windows of 32 about a third of the values are worth a look.
+    some = F.filter("of", lambda x: x < ((1 << 31) * winnowing._FIRST // 32) << 32)
+    assert df.filter("i = 15").select(F.size(some) / F.size("of")).first()[0] < 0.4
+
+
 def test_shared_passages_share_a_hash(spark):
     draw = random.Random(8)
     rows = []
