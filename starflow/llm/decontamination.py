@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starflow.llm.rows import blocks, documents, row_key
+from starflow.llm.rows import blocks, documents, let_go, row_key
 from starflow.llm.words import Words
 
 _BLOCKS = 4
@@ -252,6 +252,7 @@ def _matches(words: Words, items: Items, percent: int) -> dict[tuple[int, int],
 
 def _search(items: Items, percent: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch, texts in blocks(batches):
             found = _matches(Words(texts, lower=True, marks=False), items, percent)
             if not found:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from starflow.llm.rows import documents, plainly_named, row_key, saved, unused
+from starflow.llm.rows import documents, let_go, plainly_named, row_key, saved, unused
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -26,6 +26,7 @@ def line_key(line: str) -> bytes:
 
 def _line_rows(least: int):
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             digests, owners, positions = [], [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
@@ -56,6 +57,7 @@ def _first_occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     """Streams one sorted range. Emits the lines to drop; the lines of the first document of the
     range's first key, which may have begun in an earlier range, as `open`; and one `edge`
     row at either end of the range."""
+    let_go()
     part = TaskContext.get().partitionId()
     last = None  # key and owner of the run that the batch before ended in
     runs = 0
@@ -149,6 +151,7 @@ def repeated_lines(docs: DataFrame, least: int = 10) -> DataFrame:
 
 
 def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
     for batch in batches:
         dropped, maps = [], []
         for n, gone in zip(batch.column("n_lines").to_pylist(), batch.column("gone").to_pylist()):
@@ -231,6 +234,7 @@ def _only_kept(text: int, keep: int):
     """Cuts the texts in one column down by the bitmaps in another, which goes."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             texts, maps = batch.column(text).to_pylist(), batch.column(keep).to_pylist()
             kept = [None if t is None else kept_text(t, bits) for t, bits in zip(texts, maps)]

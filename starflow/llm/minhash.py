@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starflow.llm.components import connected_components
-from starflow.llm.rows import blocks, documents, row_key, saved
+from starflow.llm.rows import blocks, documents, let_go, row_key, saved
 from starflow.llm.words import Words, distinct_by_row, mix, stream
 
 _UNFILLED = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -84,6 +84,7 @@ def sketches(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
     """(doc_id, row, n_shingles, digest of the whole set, band keys) of every document."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch, texts in blocks(batches, size=_TEXT_BLOCK):
             values, first = _sets(texts, words)
             keys = band_keys(fast_similarity_sketch(values, first, bands * rows), rows)
@@ -108,6 +109,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, digest, shingles) of every document: the full set, as 64-bit hashes, in order."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch, texts in blocks(batches, size=_TEXT_BLOCK):
             values, first = _sets(texts, words)
             yield pa.record_batch(
@@ -143,6 +145,7 @@ def _linked(percent: int):
     """Between two blocks of sets: which components have a similar enough pair."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for i in range(batch.num_rows):
                 x, y = batch.column("xs")[i].values, batch.column("ys")[i].values

@@ -81,6 +81,13 @@ def held_by_process(key: str, make):
     return held[key]
 
 
+def let_go() -> None:
+    """Frees what other operators' tasks have kept in this worker process, which Spark uses again for any operator. Whoever
+    kept something makes it anew."""
+    vars(sys.modules.get("starflow_worker_state") or types.ModuleType("none")).pop("held", None)
+    pa.default_memory_pool().release_unused()
+
+
 class Lately(dict):
     """What was looked up lately: when it is full, what was not used since the last time goes."""
 

@@ -17,10 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from starflow.llm.rows import blocks, documents, plainly_named, saved
+from starflow.llm.rows import blocks, documents, let_go, plainly_named, saved
 
 ORDERS = (3, 4, 5)
 _BITS = 18
+# Bytes of text whose n-grams are held at once, three of 8 bytes each for a byte of text, several times over.
+_TEXT_BLOCK = 1 << 18
 
 
 def _flat(texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +82,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many texts of either label hold each bucket."""
     counts = np.zeros((2, 1 << _BITS), np.int64)
     everything = np.ones(1 << _BITS, bool)
-    for batch, texts in blocks(batches):
+    let_go()
+    for batch, texts in blocks(batches, size=_TEXT_BLOCK):
         labels = batch.column("label").to_numpy()
         rows, buckets = _held(texts, everything)
         for label in (0, 1):
@@ -93,7 +96,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _examples(wanted: np.ndarray):
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in blocks(batches):
+        let_go()
+        for batch, texts in blocks(batches, size=_TEXT_BLOCK):
             rows, buckets = _held(texts, wanted)
             ends = np.searchsorted(rows, np.arange(len(texts) + 1))
             yield pa.record_batch(
@@ -210,7 +214,8 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id") -> DataFrame
     """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in blocks(batches):
+        let_go()
+        for batch, texts in blocks(batches, size=_TEXT_BLOCK):
             yield pa.record_batch(
                 {"doc_id": batch.column("doc_id"), "score": pa.array(model.scores(texts))}
             )
@@ -225,7 +230,8 @@ def with_toxicity(docs: DataFrame, model: Model, column: str = "score") -> DataF
     text = named.columns[docs.columns.index("text")]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in blocks(batches, text):
+        let_go()
+        for batch, texts in blocks(batches, text, _TEXT_BLOCK):
             yield batch.append_column("score", pa.array(model.scores(texts)))
 
     scored = StructType([*named.schema, StructField("score", DoubleType())])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import inspect
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -15,7 +16,7 @@ from oracle import MEDIUM
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from starflow.llm import language_id, toxicity
+from starflow.llm import language_id, rows, toxicity
 from starflow.llm import sentencepiece_tokens as tokens
 from starflow.llm.queries import SENTENCEPIECE_MODEL
 from starflow.llm.sentencepiece_tokens import Codec, Model, build, decode, encode, parse
@@ -275,3 +276,19 @@ def test_what_a_worker_keeps_does_not_grow(spark):
         kept.tidy()
         assert len(kept) <= 10 and len(kept.older) <= 11
     assert kept[999] == "999"
+
+
+def test_toxicity_holds_little_at_a_time():
+    """A batch of many texts costs what a small part of it does, and what another operator's task kept is freed."""
+    draw = random.Random(5)
+    texts = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz ", k=2000)) for _ in range(1000)]
+    batch = pa.record_batch({"doc_id": pa.array(range(1000)), "label": pa.array([i % 2 for i in range(1000)], pa.int32()), "text": texts})
+    rows.held_by_process("codec", lambda: "kept by an earlier task")
+    tracemalloc.start()
+    counted = list(toxicity._counts(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(x.num_rows for x in counted) > 10_000
+    assert peak < 60e6, peak
+    assert rows.held_by_process("codec", lambda: "made anew") == "made anew"
+    rows.let_go()
