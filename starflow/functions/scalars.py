@@ -29,8 +29,8 @@ def or_default(column: str | Column, default: str) -> Column:
     return F.coalesce(as_text(column), F.lit(default))
 
 
-# Something after the time of day: an offset or the name of a zone.
-_ZONED = r"[T ]\s*\d{1,2}(:\d{1,2}){0,2}(\.\d*)?\s*[A-Za-z+-].*$"
+# Something after the time of day: an offset or the name of a zone. Possessive, so that a match never backtracks.
+_ZONED = r"[T ]\s*+\d{1,2}+(?::\d{1,2}+){0,2}+(?:\.\d*+)?+\s*+[A-Za-z+-].*$"
 
 
 def at_zone(local: Column, zone: str) -> Column:
@@ -38,9 +38,9 @@ def at_zone(local: Column, zone: str) -> Column:
 
     A time that the zone skips is moved on by what it skips; one it has twice is the first.
     """
-    fields = [F.date_part(F.lit(f), local) for f in ("YEAR", "MONTH", "DAY", "HOUR", "MINUTE")]
-    seconds = F.date_part(F.lit("SECOND"), local)
-    return F.make_timestamp(*[f.cast("int") for f in fields], seconds, F.lit(zone))
+    # By what has passed since 1970, and not by year, month and so on: an expression named six times is computed six times.
+    passed = (local - F.expr("TIMESTAMP_NTZ'1970-01-01'")).cast("interval second").cast("decimal(20,6)")
+    return F.to_utc_timestamp(F.timestamp_seconds(passed), zone)
 
 
 def parse_timestamp(column: str | Column, zone: str = "UTC") -> Column:

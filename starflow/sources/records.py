@@ -3,7 +3,8 @@
 A line break ends a record only where an even number of quotes stands before it in the file. So
 one pass counts the quotes of each split of a file; the sum over the splits before, a bit a split,
 says which begin inside a field. A second pass then cuts each split at the ends of its
-records. What a split has of a record that goes over its border is put together by a small join.
+records, looks at each and writes it with what it found. What a split has of a record that goes over its border is put
+together, and looked at, by a small join.
 
 That is what a parser does that reads from the beginning, as long as quotes only enclose whole fields.
 Every record is looked at for that, and where one differs the input is not read this way.
@@ -13,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -26,11 +27,10 @@ WHOLE, BEGINNING, END, MIDDLE = range(4)
 # Splits whose numbers are sent to every task; more are joined by a shuffle of the lines.
 MOST_BROADCAST = 100_000
 
-# A record of which every field is quoted throughout or holds no quote, and nothing else a parser might end a
-# record at. Possessive, so that a match never backtracks.
+# A record, not only spaces, of which every field is quoted throughout or holds no quote, and nothing else a parser
+# might end a record at. Possessive, so that a match never backtracks.
 _FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",\r\n]*+)'
-_REGULAR = rf"\A{_FIELD}(?:,{_FIELD})*+\z"
-_ONLY_SPACES = r"\A[\x00-\x20]+\z"
+_REGULAR = rf"\A(?![\x00-\x20]+\z){_FIELD}(?:,{_FIELD})*+\z"
 
 
 def _saved(df: DataFrame, label: str) -> DataFrame:
@@ -49,12 +49,12 @@ def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def split_parities(lines: DataFrame) -> DataFrame:
-    """(file, start, size, inside) of each split: whether it begins inside a quoted field."""
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    """(split, file, start, size, inside) of each split: a number for it, and whether it begins inside a quoted field."""
+    quotes = F.octet_length("value") - F.octet_length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
     counted = lines.groupBy("file", "start", "size").agg(F.sum(quotes).alias("quotes"))
     before = W.partitionBy("file").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
     inside = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1
-    return counted.select("file", "start", "size", inside.alias("inside"))
+    return counted.select(F.monotonically_increasing_id().alias("split"), "file", "start", "size", inside.alias("inside"))
 
 
 def _assembled():
@@ -65,12 +65,12 @@ def _assembled():
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        names = ["file", "start", "part", "first", "text"]
-        split, odd, begun_inside, ended, waiting = None, False, False, False, []
+        names = ["split", "part", "first", "text"]
+        split, begins_file, odd, begun_inside, ended, waiting = None, False, False, False, False, []
 
         def row(part: int, text: str):
-            first = split[1] == 0 and not begun_inside and not ended
-            return pa.record_batch([[split[0]], [split[1]], pa.array([part], pa.int32()), [first], [text]], names)
+            first = begins_file and not begun_inside and not ended
+            return pa.record_batch([pa.array([split], pa.int64()), pa.array([part], pa.int32()), [first], [text]], names)
 
         def left_over():
             if waiting:
@@ -78,18 +78,16 @@ def _assembled():
                 yield row(3 if inside else 1, "\n".join(waiting))
 
         for batch in batches:
-            files, starts = batch.column("file"), batch.column("start").to_numpy()
-            moved = np.diff(starts) != 0
-            if batch.num_rows > 1:
-                moved |= pc.not_equal(files.slice(1), files.slice(0, len(files) - 1)).to_numpy(zero_copy_only=False)
-            cuts = [0, *(np.flatnonzero(moved) + 1).tolist(), batch.num_rows]
+            splits = batch.column("split").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(splits)) + 1).tolist(), batch.num_rows]
             for begin, end in zip(cuts, cuts[1:]):
                 if begin == end:
                     continue
-                here = (files[begin].as_py(), int(starts[begin]))
+                here = int(splits[begin])
                 if here != split:
                     yield from left_over()
                     begun_inside = odd = batch.column("inside")[begin].as_py()
+                    begins_file = batch.column("start")[begin].as_py() == 0
                     split, ended, waiting = here, False, []
                 lines = batch.column("value").slice(begin, end - begin).cast(pa.large_string())
                 quotes = pc.count_substring(lines, '"').to_numpy(zero_copy_only=False).astype(np.int64)
@@ -108,10 +106,9 @@ def _assembled():
                     n = len(texts)
                     yield pa.record_batch(
                         [
-                            pa.array([here[0]] * n),
-                            pa.array([here[1]] * n, pa.int64()),
-                            pa.array([0] * n, pa.int32()),
-                            pa.array([False] * n),
+                            pa.array(np.full(n, here, np.int64)),
+                            pa.array(np.zeros(n, np.int32)),
+                            pa.array(np.zeros(n, np.bool_)),
                             texts.cast(pa.string()),
                         ],
                         names,
@@ -121,44 +118,49 @@ def _assembled():
     return assemble
 
 
-def _joined(parts: DataFrame) -> DataFrame:
-    """(file, first, text) of the records that go over a border of splits, from their parts."""
+def _judged(records: DataFrame) -> DataFrame:
+    """Records, in `text`, without line end and byte order mark, and two columns more: `windows`, how they ended, and `unlike`,
+    whether a parser might read them otherwise. Empty ones are left out, rows without text are not."""
+    windows = F.col("text").endswith("\r")
+    text = F.when(windows, F.left("text", F.length("text") - 1)).otherwise(F.col("text"))
+    text = F.when(F.col("first"), F.regexp_replace(text, "^\ufeff", "")).otherwise(text)
+    plain = records.withColumns({"text": text, "windows": windows})
+    told = plain.filter(F.col("text").isNull() | (F.col("text") != "") | F.col("windows"))
+    return told.withColumn("unlike", ~F.col("text").rlike(_REGULAR))
+
+
+def _joined(pieces: DataFrame, splits: DataFrame) -> DataFrame:
+    """(first, text) of the records that go over a border of splits, from their pieces."""
     order = F.when(F.col("part") == BEGINNING, 1).otherwise(0)
-    keys = parts.select("file", "start", "part")
+    placed = pieces.join(splits.select("split", "file", "start"), "split")
+    keys = placed.select("file", "start", "part")
     # A record's number in its file is how many have begun so far.
     upto = W.partitionBy("file").orderBy("start", order).rowsBetween(W.unboundedPreceding, 0)
     number = F.sum((F.col("part") == BEGINNING).cast("long")).over(upto)
-    pieces = parts.join(keys.withColumn("number", number), ["file", "start", "part"])
-    texts = F.sort_array(F.collect_list(F.struct("start", "part", "text")))
-    return pieces.groupBy("file", "number").agg(
+    numbered = placed.join(keys.withColumn("number", number), ["file", "start", "part"])
+    texts = F.sort_array(F.collect_list(F.struct("start", "part", "piece")))
+    return numbered.groupBy("file", "number").agg(
         F.bool_or("first").alias("first"),
-        F.array_join(F.transform(texts, lambda p: p["text"]), "\n").alias("text"),
-    ).drop("number")
+        F.array_join(F.transform(texts, lambda p: p["piece"]), "\n").alias("text"),
+    ).drop("number", "file")
 
 
 def _records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(first, text) of every record that is not empty; `first` marks those that begin a file."""
+    """`_judged` of every record that is not empty; `first` marks those that begin a file. Written."""
     lines = _lines(spark, path)
     splits = _saved(split_parities(lines), "csv-splits")
     known = F.broadcast(splits) if splits.count() <= MOST_BROADCAST else splits
     # Should files or settings change between the passes, that is an error and no wrong row.
     inside = F.coalesce("inside", F.raise_error(F.lit("the input was split anew while it was read")))
-    placed = lines.join(known, ["file", "start", "size"], "left").select("file", "start", inside.alias("inside"), "value")
-    parts = _saved(
-        placed.mapInArrow(_assembled(), "file string, start long, part int, first boolean, text string"), "csv-records"
-    )
-    whole = parts.filter(F.col("part") == WHOLE).select("first", "text")
-    over = _joined(parts.filter(F.col("part") != WHOLE)).select("first", "text")
-    text = F.regexp_replace("text", r"\r\z", "")
-    text = F.when(F.col("first"), F.regexp_replace(text, "^﻿", "")).otherwise(text)
-    windows = F.col("text").endswith("\r")
-    return whole.unionByName(over).select("first", text.alias("text"), windows.alias("windows")).filter(
-        (F.col("text") != "") | F.col("windows")
-    )
-
-
-def _unlike(records: DataFrame) -> Column:
-    return ~F.col("text").rlike(_REGULAR) | F.col("text").rlike(_ONLY_SPACES)
+    placed = lines.join(known, ["file", "start", "size"], "left").select("split", "start", inside.alias("inside"), "value")
+    parts = placed.mapInArrow(_assembled(), "split long, part int, first boolean, text string")
+    whole = F.col("part") == WHOLE
+    # Text that is not yet a record has a column of its own, so that the join reads no other.
+    apart = parts.withColumns({"piece": F.when(~whole, F.col("text")), "text": F.when(whole, F.col("text"))})
+    found = _saved(_judged(apart), "csv-records")
+    pieces = found.filter("piece IS NOT NULL").select("split", "part", "first", "piece")
+    over = _saved(_judged(_joined(pieces, splits)), "csv-joined")
+    return found.filter("piece IS NULL").select(*over.columns).unionByName(over)
 
 
 def read_records(
@@ -171,9 +173,9 @@ def read_records(
     written once to the scratch folder; lines are shuffled only where there are more splits than
     MOST_BROADCAST. A record is one unit of memory.
     """
-    records = _saved(_records(spark, path), "csv-whole")
+    records = _records(spark, path)
     facts = records.agg(
-        F.coalesce(F.bool_or(_unlike(records)), F.lit(False)).alias("unlike"),
+        F.coalesce(F.bool_or("unlike"), F.lit(False)).alias("unlike"),
         F.coalesce(F.bool_or("windows"), F.lit(False)).alias("windows"),
         F.coalesce(F.bool_and("windows"), F.lit(False)).alias("all_windows"),
     ).first()

@@ -126,3 +126,26 @@ def test_times_without_offset_are_in_the_zone_asked_for(spark):
     df = spark.createDataFrame([("2025-09-01 10:00:00",)], "t string")
     parsed = df.select(fn.parse_timestamp("t", "America/New_York").cast("string"))
     assert parsed.first()[0] == "2025-09-01 14:00:00"
+
+
+def test_a_time_is_parsed_once_however_it_is_placed_in_its_zone(spark):
+    plan = spark.createDataFrame([("x",)], "t string").select(fn.parse_timestamp("t", "Europe/Berlin").alias("p"))
+    assert plan._jdf.queryExecution().optimizedPlan().toString().lower().count("try_cast") <= 1
+
+
+@pytest.mark.parametrize("session", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Pacific/Apia", "+05:30"])
+def test_at_zone_is_what_its_fields_say(spark, session, zone):
+    times = ["2024-03-10 02:30:00.000001", "2024-11-03 01:30:00", "1969-12-31 23:59:59.999999", "1883-11-18 12:00:00",
+             "0001-01-01 00:00:00", "2011-12-30 10:00:00", "+40000-01-01 00:00:00", "-0044-03-15 12:00:00.5", None]
+    local = F.col("t").cast("timestamp_ntz")
+    fields = [F.date_part(F.lit(f), local).cast("int") for f in ("YEAR", "MONTH", "DAY", "HOUR", "MINUTE")]
+    want = F.make_timestamp(*fields, F.date_part(F.lit("SECOND"), local), F.lit(zone))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", session)
+    try:
+        df = spark.createDataFrame([(t,) for t in times], "t string")
+        got = df.select(F.unix_micros(fn.at_zone(local, zone)), F.unix_micros(want)).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert all(a == b for a, b in got) and sum(a is None for a, _ in got) == 1

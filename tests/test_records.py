@@ -142,3 +142,22 @@ def test_splits_that_change_between_the_passes_are_an_error(spark, tmp_path, sma
     monkeypatch.setattr(records_module, "_saved", saved_then_split_anew)
     with pytest.raises(Exception, match="split anew"):
         read_records(spark, str(tmp_path / "raw.csv"))
+
+
+def test_records_are_written_once_and_looked_at_as_they_are_cut(spark, tmp_path, small_splits, monkeypatch):
+    lines = [f'{i},"note\n{i:060d}"' for i in range(2_000)]
+    (tmp_path / "raw.csv").write_text("id,note\n" + "\n".join(lines) + "\n")
+    small_splits(10_000)
+    saved, real = Counter(), records_module._saved
+
+    def counted(df, label):
+        done = real(df, label)
+        saved[label] += done.count()
+        return done
+
+    monkeypatch.setattr(records_module, "_saved", counted)
+    same_as_whole(spark, str(tmp_path / "raw.csv"))
+    splits = saved["csv-splits"]
+    assert 10 < splits < 20
+    # All records, and two pieces of those over a border of splits, which are written again joined.
+    assert sum(saved.values()) - splits <= 2_001 + 2 * splits
