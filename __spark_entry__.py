@@ -308,11 +308,14 @@ def _daily(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The published tables after the export came by date: out of order, and one date twice."""
     root = scratch_path(spark, "daily")
     config = RefreshConfig("", f"{root}/lake", "starflow_" + root.rsplit("-", 1)[1], f"{root}/warehouse")
-    export = _staged(raw_export(spark, sf_dir), "export")
-    for date, days in _THIRDS.items():
-        write_csv(export.filter(f"day(timestamp) {days}"), f"{root}/raw/{date}")
+    export = raw_export(spark, sf_dir)
+    for date in _THIRDS:  # a header, so that a date without events has a file too
+        write_csv(export.limit(0), f"{root}/raw/date={date}")
+    dates = " ".join(f"WHEN day(timestamp) {days} THEN '{date}'" for date, days in _THIRDS.items())
+    dealt = export.withColumn("date", F.expr(f"CASE {dates} END")).filter("date IS NOT NULL")
+    write_csv(dealt, f"{root}/raw", ["date"], add=True)
     for date in ("2025-09-02", "2025-09-03", "2025-09-01", "2025-09-02"):
-        run_day(spark, config, date, f"{root}/raw/{date}")
+        run_day(spark, config, date, f"{root}/raw/date={date}")
     return published_tables(spark, config.database)
 
 

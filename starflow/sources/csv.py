@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,13 +68,17 @@ def one_record_per_line(spark: SparkSession, path: str | list[str]) -> bool:
     )
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, by: Sequence[str] = (), add: bool = False) -> None:
     """Overwrite `path` with CSV files that `read_csv` reads back unchanged.
 
     Padding and microseconds are kept, which Spark's defaults would cut.
+
+    by   columns that name folders, `column=value`, instead of being written; one pass deals the rows to all of them.
+    add  keep the files that are there.
     """
     (
-        df.write.mode("overwrite")
+        df.write.mode("append" if add else "overwrite")
+        .partitionBy(*by)
         .option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)

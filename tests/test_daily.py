@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from pathlib import Path
 from uuid import uuid4
 
 import pytest
@@ -66,6 +67,22 @@ def test_dates_in_any_order_and_again_equal_a_full_refresh(spark, config, raw_by
     assert [p.part for p in after if p.table == "fact_events"] == [first, second, third]
 
 
+def test_the_export_is_dealt_to_dates_in_one_pass_and_a_date_may_have_none(spark, tmp_path, monkeypatch):
+    """Events of the first third of a month, and some without a time, which no date has."""
+    for path in Path(SMALL).glob("*.parquet"):
+        if path.name != "events.parquet":
+            (tmp_path / path.name).symlink_to(path)
+    day = "CASE WHEN id < 40 THEN make_timestamp_ntz(2024, 1, CAST(1 + id % 10 AS INT), 1, 2, 3.000004) END"
+    events = spark.range(50).selectExpr(
+        "id AS event_id", f"{day} AS ts", "id % 7 AS user_id", "'view' AS event_type", "1.5D AS value", "'{}' AS props"
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(driver, "_staged", None)  # that would be a second pass
+    tables = driver._daily(spark, str(tmp_path))
+    assert tables["fact_events"].count() == 40
+    assert rows_of(tables["dim_user"]) == rows_of(driver.queries()["gold_dim_user"](spark, str(tmp_path)))
+
+
 def test_dates_are_dates(spark, config, raw_by_date):
     with pytest.raises(ValueError, match="execution date"):
         run_day(spark, config, "2025-9-1/..", str(raw_by_date / "other"))
